@@ -38,3 +38,19 @@ def similarity(total_residual: Column) -> Column:
 def merchant_code(int_key: Column) -> Column:
     """`M%05d` identifiers from integer keys."""
     return F.concat(F.lit("M"), F.lpad(int_key.cast("string"), 5, "0"))
+
+
+def cents(amount: Column) -> Column:
+    """Money as integer cents (amounts are cent-rounded by contract)."""
+    return F.round(amount * 100).cast("long")
+
+
+def money_sum(amount: Column) -> Column:
+    """Exact SUM of money: integer cents summed as longs, one division at the end.
+    Independent of partitioning and summation order, unlike a double sum."""
+    return F.sum(cents(amount)) / F.lit(100.0)
+
+
+def money_avg(amount: Column) -> Column:
+    """Exact AVG of money over non-NULL values: one correctly rounded division."""
+    return F.sum(cents(amount)) / (F.count(amount) * F.lit(100.0))

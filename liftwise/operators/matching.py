@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from liftwise import config
-from liftwise.functions.columns import safe_div, similarity, week_bucket
+from liftwise.functions.columns import cents, safe_div, similarity, week_bucket
 from liftwise.functions.joins import broadcast_if_small
 from liftwise.operators.windows import rows_in_windows
 from liftwise.session import cut_lineage, default_parallelism
@@ -44,24 +44,29 @@ def n_slots(match_window_days: int = config.MATCH_WINDOW_DAYS) -> int:
 
 
 def match_vectors(panel: DataFrame, windows: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS) -> DataFrame:
-    """(intervention_id, merchant_id, base_week, weekly): weekly revenue sums over the
-    match window as array<double>, NULL where the merchant has no row that week."""
+    """(intervention_id, merchant_id, base_week, weekly_cents): weekly revenue over the
+    match window as array<bigint> of exact cents, NULL where the merchant has no row
+    that week."""
     width = n_slots(match_window_days)
     rows = rows_in_windows(panel.select("merchant_id", "txn_date", "amount"), windows, "pre_start", "pre_end")
     slot = (F.datediff(F.col("week_start"), week_bucket(F.col("lo"))) / 7).cast("int")
-    rows = rows.select("intervention_id", "merchant_id", "amount", "lo", slot.alias("slot"))
-    sums = [F.sum(F.when(F.col("slot") == i, F.col("amount"))) for i in range(width)]
+    rows = rows.select("intervention_id", "merchant_id", cents(F.col("amount")).alias("c"), "lo", slot.alias("slot"))
+    sums = [F.sum(F.when(F.col("slot") == i, F.col("c"))) for i in range(width)]
     return rows.groupBy("intervention_id", "merchant_id").agg(
-        week_bucket(F.min("lo")).alias("base_week"), F.array(*sums).alias("weekly")
+        week_bucket(F.min("lo")).alias("base_week"), F.array(*sums).alias("weekly_cents")
     )
 
 
 def normalize_vectors(vectors: DataFrame) -> DataFrame:
-    """Adds mean_revenue (over weeks present) and `vec` = weekly / NULLIF(mean, 0)."""
-    present = F.filter("weekly", lambda x: x.isNotNull())
-    total = F.aggregate(present, F.lit(0.0), lambda acc, x: acc + x)
-    with_mean = vectors.withColumn("mean_revenue", safe_div(total, F.size(present).cast("double")))
-    return with_mean.withColumn("vec", F.transform("weekly", lambda x: safe_div(x, F.col("mean_revenue"))))
+    """Adds `weekly` (revenue as double), mean_revenue (exact, over weeks present) and
+    `vec` = weekly / NULLIF(mean, 0)."""
+    present = F.filter("weekly_cents", lambda x: x.isNotNull())
+    total = F.aggregate(present, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return (
+        vectors.withColumn("mean_revenue", safe_div(total, F.size(present) * F.lit(100.0)))
+        .withColumn("weekly", F.transform("weekly_cents", lambda x: x / F.lit(100.0)))
+        .withColumn("vec", F.transform("weekly", lambda x: safe_div(x, F.col("mean_revenue"))))
+    )
 
 
 def vectors_as_rows(vectors: DataFrame, value: str, alias: str) -> DataFrame:

@@ -8,16 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions.columns import safe_div
+from liftwise.functions.columns import cents, money_sum, safe_div
 
 
 def _metric_expr(metric: str) -> Column:
     if metric == "revenue":
-        return F.round(F.sum("amount"), 2)
+        return F.round(money_sum(F.col("amount")), 2)
     if metric == "transaction_count":
         return F.sum("txn_count")
     if metric == "avg_basket":
-        return F.round(safe_div(F.sum("amount"), F.sum("txn_count")), 2)
+        return F.round(safe_div(F.sum(cents(F.col("amount"))), F.sum("txn_count") * F.lit(100.0)), 2)
     if metric == "active_merchants":
         return F.count_distinct("merchant_id")
     raise ValueError(f"unknown metric {metric!r}; expected one of {config.METRICS}")
@@ -67,7 +67,7 @@ def monthly_trend(gold: DataFrame, group_by: str | None = None) -> DataFrame:
     """Revenue, transactions and active merchants per calendar month (and dimension)."""
     keys = ["year", "month"] + ([group_by] if group_by else [])
     return gold.groupBy(*keys).agg(
-        F.round(F.sum("amount"), 2).alias("revenue"),
+        F.round(money_sum(F.col("amount")), 2).alias("revenue"),
         F.sum("txn_count").cast("long").alias("transaction_count"),
         F.count_distinct("merchant_id").cast("long").alias("active_merchants"),
     )

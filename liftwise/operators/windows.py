@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions.columns import week_bucket
+from liftwise.functions.columns import money_sum, week_bucket
 from liftwise.functions.joins import broadcast_if_small
 
 
@@ -78,5 +78,5 @@ def weekly_revenue(panel: DataFrame, windows: DataFrame, window: str = "match")
     hi = "pre_end" if window == "match" else "post_end"
     rows = rows_in_windows(panel.select("merchant_id", "txn_date", "amount"), windows, "pre_start", hi)
     return rows.groupBy("intervention_id", "merchant_id", "week_start").agg(
-        F.sum("amount").alias("weekly_revenue")
+        money_sum(F.col("amount")).alias("weekly_revenue")
     )
