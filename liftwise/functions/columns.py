@@ -3,7 +3,9 @@ stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -54,3 +56,15 @@ def money_sum(amount: Column) -> Column:
 def money_avg(amount: Column) -> Column:
     """Exact AVG of money over non-NULL values: one correctly rounded division."""
     return F.sum(cents(amount)) / (F.count(amount) * F.lit(100.0))
+
+
+def scan_date_range(df: DataFrame, first: dt.date | None, last: dt.date | None, column: str = "txn_date") -> DataFrame:
+    """Literal date bounds that reach the scan: a pushed filter on `column`, plus a
+    `year` predicate when the frame has one (partition pruning on the gold layout).
+    No bounds (no windows) keeps no row."""
+    if first is None or last is None:
+        return df.where(F.lit(False))
+    out = df.where(F.col(column).between(F.lit(first), F.lit(last)))
+    if "year" in df.columns:
+        out = out.where(F.col("year").between(F.lit(first.year), F.lit(last.year)))
+    return out

@@ -43,17 +43,36 @@ def n_slots(match_window_days: int = config.MATCH_WINDOW_DAYS) -> int:
     return (match_window_days + 6) // 7 + 1
 
 
+def weekly_cents(panel: DataFrame, windows: DataFrame) -> DataFrame:
+    """(intervention_id, merchant_id, slot, base_week, cents): exact weekly revenue over
+    the match window, one row per week a merchant has rows in. Partial sums are
+    combined map-side before the shuffle on (intervention, merchant, slot)."""
+    rows = rows_in_windows(panel, windows, "pre_start", "pre_end")
+    base = week_bucket(F.col("lo"))
+    slot = (F.datediff(F.col("week_start"), base) / 7).cast("int")
+    return rows.groupBy("intervention_id", "merchant_id", slot.alias("slot"), base.alias("base_week")).agg(
+        F.sum(cents(F.col("amount"))).alias("cents")
+    )
+
+
 def match_vectors(panel: DataFrame, windows: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS) -> DataFrame:
     """(intervention_id, merchant_id, base_week, weekly_cents): weekly revenue over the
-    match window as array<bigint> of exact cents, NULL where the merchant has no row
-    that week."""
+    match window as array<bigint> of exact cents aligned to the week slots, NULL where
+    the merchant has no row that week. Each group holds at most `n_slots` weeks."""
     width = n_slots(match_window_days)
-    rows = rows_in_windows(panel.select("merchant_id", "txn_date", "amount"), windows, "pre_start", "pre_end")
-    slot = (F.datediff(F.col("week_start"), week_bucket(F.col("lo"))) / 7).cast("int")
-    rows = rows.select("intervention_id", "merchant_id", cents(F.col("amount")).alias("c"), "lo", slot.alias("slot"))
-    sums = [F.sum(F.when(F.col("slot") == i, F.col("c"))) for i in range(width)]
-    return rows.groupBy("intervention_id", "merchant_id").agg(
-        week_bucket(F.min("lo")).alias("base_week"), F.array(*sums).alias("weekly_cents")
+    weekly = weekly_cents(panel, windows)
+    entries = F.map_from_entries(F.collect_list(F.struct("slot", "cents")))
+    return (
+        weekly.groupBy("intervention_id", "merchant_id")
+        .agg(F.min("base_week").alias("base_week"), entries.alias("by_slot"))
+        .select(
+            "intervention_id",
+            "merchant_id",
+            "base_week",
+            F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.try_element_at("by_slot", i)).alias(
+                "weekly_cents"
+            ),
+        )
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions.columns import cents, money_sum, safe_div
+from liftwise.functions.columns import cents, money_sum, safe_div, scan_date_range
 
 
 def _metric_expr(metric: str) -> Column:
@@ -23,8 +23,8 @@ def _metric_expr(metric: str) -> Column:
     raise ValueError(f"unknown metric {metric!r}; expected one of {config.METRICS}")
 
 
-def _as_date(value: str | dt.date) -> Column:
-    return F.lit(value).cast("date") if isinstance(value, str) else F.lit(value)
+def _as_date(value: str | dt.date) -> dt.date:
+    return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
 def query_metric(
@@ -46,7 +46,7 @@ def query_metric(
     """
     if group_by is not None and group_by not in config.MERCHANT_DIMENSIONS:
         raise ValueError(f"unknown group_by {group_by!r}")
-    df = gold.where(F.col("txn_date").between(_as_date(start_date), _as_date(end_date)))
+    df = scan_date_range(gold, _as_date(start_date), _as_date(end_date))
     for column, value in (
         ("location_type", filter_location_type),
         ("region", filter_region),

@@ -12,7 +12,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions.columns import cents, money_avg, money_sum, period_label, relative_week, safe_div, week_bucket
+from liftwise.functions.columns import (
+    cents,
+    money_avg,
+    money_sum,
+    period_label,
+    relative_week,
+    safe_div,
+    scan_date_range,
+    week_bucket,
+)
 from liftwise.functions.joins import broadcast_if_small
 from liftwise.operators.windows import date_bounds
 
@@ -42,10 +51,9 @@ def weekly_revenue_members(panel: DataFrame, windows: DataFrame, members: DataFr
     member_spans = broadcast_if_small(
         members.join(spans, "intervention_id"), config.MAX_BROADCAST_DIMENSION_ROWS
     )
-    in_range = F.col("txn_date").between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)
     rows = (
-        panel.select("merchant_id", "txn_date", "amount")
-        .where(in_range)
+        scan_date_range(panel, first, last)
+        .select("merchant_id", "txn_date", "amount")
         .join(member_spans, "merchant_id")
         .where(F.col("txn_date").between(F.col("lo"), F.col("hi")))
     )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions.columns import money_sum, week_bucket
+from liftwise.functions.columns import money_sum, scan_date_range, week_bucket
 from liftwise.functions.joins import broadcast_if_small
 
 
@@ -64,8 +64,7 @@ def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str) -> D
             F.sequence(week_bucket(F.col(lo)), week_bucket(F.col(hi)), F.expr("INTERVAL 7 DAYS"))
         ).alias("week_start"),
     )
-    in_range = F.col("txn_date").between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)
-    scoped = panel.where(in_range).withColumn(
+    scoped = scan_date_range(panel, first, last).withColumn(
         "week_start", week_bucket(F.col("txn_date"))
     )
     weeks = broadcast_if_small(weeks, config.MAX_BROADCAST_INTERVENTION_ROWS)
@@ -76,7 +75,7 @@ def weekly_revenue(panel: DataFrame, windows: DataFrame, window: str = "match")
     """(intervention_id, merchant_id, week_start, weekly_revenue) over the match window
     (`window="match"`) or the whole trend window (`window="full"`)."""
     hi = "pre_end" if window == "match" else "post_end"
-    rows = rows_in_windows(panel.select("merchant_id", "txn_date", "amount"), windows, "pre_start", hi)
+    rows = rows_in_windows(panel, windows, "pre_start", hi).select("intervention_id", "merchant_id", "week_start", "amount")
     return rows.groupBy("intervention_id", "merchant_id", "week_start").agg(
         money_sum(F.col("amount")).alias("weekly_revenue")
     )

@@ -92,7 +92,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         li.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("txn_date"))
         .agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("amount"),
+            # exact cents as a long sum (same value as a DECIMAL(18,2) sum cast to double)
+            (F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / F.lit(100.0)).alias("amount"),
             F.count_distinct("l_orderkey").cast("int").alias("txn_count"),
         )
         .select(merchant_code(F.col("l_suppkey")).alias("merchant_id"), "txn_date", "amount", "txn_count")
