@@ -370,3 +370,21 @@ def tvf_query_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
         "filter_region => NULL, filter_size_band => :size_band, filter_brand => NULL)",
         args={"metric": "avg_basket", "group_by": "brand", "size_band": "mid"},
     )
+
+
+@query
+def tvf_build_control_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql_functions.register_causal(spark, context(spark, sf_dir), max_matches=10)
+    return spark.sql("SELECT * FROM build_control_group('INT_001', 10)")
+
+
+@query
+def tvf_parallel_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql_functions.register_causal(spark, context(spark, sf_dir), max_matches=10)
+    return spark.sql("SELECT * FROM check_parallel_trends('INT_001', 10) ORDER BY week_number")
+
+
+@query
+def tvf_estimate_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql_functions.register_causal(spark, context(spark, sf_dir), max_matches=10)
+    return spark.sql("SELECT * FROM estimate_lift('INT_001', 10, NULL, NULL, NULL)")

@@ -120,3 +120,20 @@ def test_sample_cohort_is_deterministic_and_weighted(ctx):
     a = [r.merchant_id for r in panel.sample_cohort(ctx.layers.merchants, 5, seed=1).collect()]
     b = [r.merchant_id for r in panel.sample_cohort(ctx.layers.merchants.repartition(3), 5, seed=1).collect()]
     assert a == b and len(a) == 5 and len(set(a)) == 5
+
+
+@pytest.mark.parametrize("iv", ["INT_001", "INT_002"])
+def test_causal_sql_functions_equal_dataframe(spark, ctx, iv):
+    sql_functions.register_causal(spark, ctx, max_matches=10)
+    run = CausalRun(ctx.gold, ctx.windows, ctx.treated, 10)
+    df_lift = [tuple(r)[1:] for r in run.estimate_lift(first_n_weeks=3).where(F.col("intervention_id") == iv).collect()]
+    sql_lift = [tuple(r) for r in spark.sql(f"SELECT * FROM estimate_lift('{iv}', 10, 3)").collect()]
+    assert df_lift == sql_lift
+    cols = ["week_number", "treated_avg_revenue", "control_avg_revenue", "lift_pct", "period"]
+    df_tr = sorted(tuple(r) for r in run.parallel_trends.where(F.col("intervention_id") == iv).select(*cols).collect())
+    sql_tr = sorted(tuple(r) for r in spark.sql(f"SELECT * FROM check_parallel_trends('{iv}', 5)").collect())
+    df_tr5 = sorted(
+        tuple(r)
+        for r in CausalRun(ctx.gold, ctx.windows, ctx.treated, 5).parallel_trends.where(F.col("intervention_id") == iv).select(*cols).collect()
+    )
+    assert sql_tr == df_tr5 and len(df_tr) == len(df_tr5)
