@@ -246,9 +246,23 @@ def candidate_pairs(
         )
         pairs = c_blocks.join(replicated, ["intervention_id", "cb"])
     pairs = pairs.select("intervention_id", "t_ids", "t_vecs", "c_ids", "c_vecs")
+    # Each row carries two blocks of vectors; bound the Arrow batch by bytes, not the
+    # default 10,000 rows.
+    row_bytes = (treated_block_rows + control_chunk_rows) * (int(summary["width"] or 1) * 8 + 64)
+    _cap_arrow_batch(spark, max(1, KERNEL_BATCH_BYTES // row_bytes))
     return pairs.mapInPandas(_kernel(k), CANDIDATE_SCHEMA)
 
 
+KERNEL_BATCH_BYTES = 64 * 1024 * 1024
+ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _cap_arrow_batch(spark, rows: int) -> None:
+    current = int(spark.conf.get(ARROW_BATCH_CONF, "10000"))
+    if current <= 0 or current > rows:
+        spark.conf.set(ARROW_BATCH_CONF, str(rows))
+
+
 def rank_candidates(candidates: DataFrame, n_matches: int) -> DataFrame:
     w = Window.partitionBy("intervention_id", "treated_merchant_id").orderBy(
         F.col("total_residual").asc(), F.col("control_merchant_id").asc()

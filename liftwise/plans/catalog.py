@@ -388,3 +388,18 @@ def tvf_parallel_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tvf_estimate_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql_functions.register_causal(spark, context(spark, sf_dir), max_matches=10)
     return spark.sql("SELECT * FROM estimate_lift('INT_001', 10, NULL, NULL, NULL)")
+
+
+# ---------------------------------------------------------------- streaming
+
+
+@query
+def gold_stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold built incrementally by the streaming refresh from bronze transaction files
+    (written from the fixture), read back from the sink: equals the batch gold."""
+    from liftwise.streaming.gold_refresh import refresh_once
+
+    ctx = context(spark, sf_dir)
+    src = scratch_path(spark, "bronze-tx-stream")
+    tables.overwrite(ctx.sources.transactions, src)
+    return refresh_once(spark, src, ctx.layers.merchants, scratch_path(spark, "gold-stream"))

@@ -9,7 +9,7 @@ the matching three times.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -29,7 +29,6 @@ class CausalRun:
     n_matches: int | None = None
     match_window_days: int = config.MATCH_WINDOW_DAYS
     checkpoint: bool = True
-    _cache: dict = field(default_factory=dict, repr=False)
 
     def _keep(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.checkpoint else df
@@ -51,7 +50,8 @@ class CausalRun:
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return trends.weekly_revenue_members(self.panel, self.windows, self.members)
+        # Read by both the treated and the control averages: one scan of the trend window.
+        return self._keep(trends.weekly_revenue_members(self.panel, self.windows, self.members))
 
     @cached_property
     def treated_avg(self) -> DataFrame:

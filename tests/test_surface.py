@@ -137,3 +137,13 @@ def test_causal_sql_functions_equal_dataframe(spark, ctx, iv):
         for r in CausalRun(ctx.gold, ctx.windows, ctx.treated, 5).parallel_trends.where(F.col("intervention_id") == iv).select(*cols).collect()
     )
     assert sql_tr == df_tr5 and len(df_tr) == len(df_tr5)
+
+
+def test_approval_gate_closes_lift(spark, ctx):
+    from liftwise.plans.causal import causal_report
+
+    decisions = spark.createDataFrame([("INT_001", " Yes "), ("INT_002", "not now")], "intervention_id string, decision string")
+    run = CausalRun(ctx.gold, ctx.windows, ctx.treated, 10)
+    rows = {r.intervention_id: r for r in causal_report(run, ctx.interventions, decisions).collect()}
+    assert rows["INT_001"].approved and not rows["INT_002"].approved
+    assert rows["INT_002"].lift_pct is None and rows["INT_002"].n_weeks is None
