@@ -181,7 +181,7 @@ def _kernel(k: int):
 
 
 def _with_blocks(vecs: DataFrame, counts: DataFrame, n_col: str, block: str) -> DataFrame:
-    return vecs.join(F.broadcast(counts.select("intervention_id", n_col)), "intervention_id").withColumn(
+    return vecs.join(counts.select("intervention_id", n_col), "intervention_id").withColumn(
         block, F.pmod(F.xxhash64("merchant_id"), F.col(n_col)).cast("int")
     )
 
@@ -233,7 +233,8 @@ def candidate_pairs(
         .cast("int")
         .alias("n_cb"),
     )
-    stats = broadcast_if_small(stats, config.MAX_BROADCAST_INTERVENTION_ROWS)
+    if n_iv <= config.MAX_BROADCAST_INTERVENTION_ROWS:  # one row per intervention, counted above
+        stats = F.broadcast(stats)
     t_blocks = _blocks(_with_blocks(treated_vecs, stats, "n_tb", "tb"), "tb", "t")
     c_blocks = _blocks(_with_blocks(control_vecs, stats, "n_cb", "cb"), "cb", "c")
 
@@ -241,7 +242,7 @@ def candidate_pairs(
     if treated_bytes <= broadcast_bytes:
         pairs = c_blocks.join(F.broadcast(t_blocks), "intervention_id")
     else:
-        replicated = t_blocks.join(F.broadcast(stats.select("intervention_id", "n_cb")), "intervention_id").withColumn(
+        replicated = t_blocks.join(stats.select("intervention_id", "n_cb"), "intervention_id").withColumn(
             "cb", F.explode(F.sequence(F.lit(0), F.col("n_cb") - 1))
         )
         pairs = c_blocks.join(replicated, ["intervention_id", "cb"])

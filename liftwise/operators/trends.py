@@ -23,7 +23,7 @@ from liftwise.functions.columns import (
     week_bucket,
 )
 from liftwise.functions.joins import broadcast_if_small
-from liftwise.operators.windows import date_bounds
+from liftwise.operators.windows import window_summary
 
 
 def cohort_members(treated: DataFrame, matches: DataFrame) -> DataFrame:
@@ -43,11 +43,8 @@ def control_weights(matches: DataFrame) -> DataFrame:
 def weekly_revenue_members(panel: DataFrame, windows: DataFrame, members: DataFrame) -> DataFrame:
     """(intervention_id, merchant_id, week_start, weekly_revenue) over the trend window,
     for cohort members only."""
-    first, last = date_bounds(windows, "pre_start", "post_end")
-    spans = broadcast_if_small(
-        windows.select("intervention_id", F.col("pre_start").alias("lo"), F.col("post_end").alias("hi")),
-        config.MAX_BROADCAST_INTERVENTION_ROWS,
-    )
+    first, last, _ = window_summary(windows, "pre_start", "post_end")
+    spans = windows.select("intervention_id", F.col("pre_start").alias("lo"), F.col("post_end").alias("hi"))
     member_spans = broadcast_if_small(
         members.join(spans, "intervention_id"), config.MAX_BROADCAST_DIMENSION_ROWS
     )
@@ -79,7 +76,7 @@ def control_weekly_avg(weekly: DataFrame, weights: DataFrame) -> DataFrame:
 
 def trend_series(treated_avg: DataFrame, control_avg: DataFrame, windows: DataFrame) -> DataFrame:
     """Unrounded weekly series with week_number, period, ratio, baseline and lift_pct."""
-    starts = F.broadcast(windows.select("intervention_id", "start_date"))
+    starts = broadcast_if_small(windows.select("intervention_id", "start_date"), config.MAX_BROADCAST_INTERVENTION_ROWS)
     t = treated_avg.join(control_avg, ["intervention_id", "week_start"]).join(starts, "intervention_id")
     ratio = safe_div(F.col("treated_avg_revenue"), F.col("control_avg_revenue"))
     per_iv = Window.partitionBy("intervention_id")

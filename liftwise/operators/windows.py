@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from liftwise import config
 from liftwise.functions.columns import money_sum, scan_date_range, week_bucket
-from liftwise.functions.joins import broadcast_if_small
 
 
 def intervention_windows(interventions: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS) -> DataFrame:
@@ -48,14 +47,27 @@ def assert_unique_interventions(interventions: DataFrame) -> None:
 
 def date_bounds(windows: DataFrame, lo: str, hi: str):
     """Overall [min(lo), max(hi)] of the windows: two scalars for scan pruning."""
-    row = windows.agg(F.min(lo).alias("lo"), F.max(hi).alias("hi")).first()
-    return row["lo"], row["hi"]
+    first, last, _ = window_summary(windows, lo, hi)
+    return first, last
+
+
+def window_summary(windows: DataFrame, lo: str, hi: str):
+    """One small action over the windows: (min lo, max hi, upper bound on the rows of the
+    intervention x week table)."""
+    row = windows.agg(
+        F.min(lo).alias("lo"),
+        F.max(hi).alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.datediff(F.col(hi), F.col(lo))).alias("span"),
+    ).first()
+    week_rows = int(row["n"] or 0) * ((int(row["span"] or 0)) // 7 + 2)
+    return row["lo"], row["hi"], week_rows
 
 
 def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str) -> DataFrame:
     """Panel rows (any columns, incl. `txn_date`) paired with every window that contains
     them; adds intervention_id, week_start and the window bounds `lo`/`hi`."""
-    first, last = date_bounds(windows, lo, hi)
+    first, last, week_rows = window_summary(windows, lo, hi)
     weeks = windows.select(
         "intervention_id",
         F.col(lo).alias("lo"),
@@ -67,7 +79,8 @@ def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str) -> D
     scoped = scan_date_range(panel, first, last).withColumn(
         "week_start", week_bucket(F.col("txn_date"))
     )
-    weeks = broadcast_if_small(weeks, config.MAX_BROADCAST_INTERVENTION_ROWS)
+    if week_rows <= config.MAX_BROADCAST_INTERVENTION_ROWS:  # proven bound, no extra count
+        weeks = F.broadcast(weeks)
     return scoped.join(weeks, "week_start").where(F.col("txn_date").between(F.col("lo"), F.col("hi")))
 
 

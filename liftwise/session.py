@@ -59,7 +59,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), written to the shared folder."""
+    """Reliable eager checkpoint into the shared folder named by `spark.checkpoint.dir`:
+    the plan runs once (the forced checkpoint writes the partitions as they are
+    computed), later stages read the files, and an executor loss does not replay the
+    lineage. Never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
