@@ -2,9 +2,9 @@
 
     match (top-k controls) -> cohort weekly series -> trends -> verdict -> gate -> lift
 
-The matches and the weekly series are each computed once and checkpointed to the
-shared folder, so trends, verdict, lift and report reuse them instead of recomputing
-the matching three times.
+The normalised vectors, the matches and the cohort weekly table are each computed once
+and checkpointed to the shared folder, so trends, verdict, lift and report reuse them
+instead of recomputing the matching three times.
 """
 
 from __future__ import annotations
@@ -63,7 +63,9 @@ class CausalRun:
 
     @cached_property
     def series(self) -> DataFrame:
-        return self._keep(trends.trend_series(self.treated_avg, self.control_avg, self.windows))
+        # <= ~61 rows per intervention, derived from the checkpointed weekly table:
+        # recomputing it is cheaper than another write.
+        return trends.trend_series(self.treated_avg, self.control_avg, self.windows)
 
     @property
     def parallel_trends(self) -> DataFrame:
