@@ -47,6 +47,8 @@ AGENT_VIEW_COLUMNS = (
 # Size bounds behind every explicit broadcast (rows, counted before the hint).
 MAX_BROADCAST_DIMENSION_ROWS = 2_000_000
 MAX_BROADCAST_INTERVENTION_ROWS = 200_000
+# (intervention x week) rows: ~60 bytes each, so 2M rows is ~120 MB.
+MAX_BROADCAST_WINDOW_WEEK_ROWS = 2_000_000
 
 # Matching kernel blocking: treated vectors per block, control vectors per chunk, and
 # the byte budget under which all treated vectors are broadcast instead of shuffled.

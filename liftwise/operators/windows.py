@@ -64,9 +64,16 @@ def window_summary(windows: DataFrame, lo: str, hi: str):
     return row["lo"], row["hi"], week_rows
 
 
-def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str) -> DataFrame:
+def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str, salt_buckets: int = 32) -> DataFrame:
     """Panel rows (any columns, incl. `txn_date`) paired with every window that contains
-    them; adds intervention_id, week_start and the window bounds `lo`/`hi`."""
+    them; adds intervention_id, week_start and the window bounds `lo`/`hi`.
+
+    The (intervention x week) table is broadcast when its proven row bound allows.
+    Beyond that it is joined by shuffle on (week_start, salt): a week key alone has only
+    a few hundred values, so each panel row gets a salt from its merchant id and the
+    week table is replicated once per salt value, spreading every week over
+    `salt_buckets` tasks.
+    """
     first, last, week_rows = window_summary(windows, lo, hi)
     weeks = windows.select(
         "intervention_id",
@@ -76,12 +83,13 @@ def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str) -> D
             F.sequence(week_bucket(F.col(lo)), week_bucket(F.col(hi)), F.expr("INTERVAL 7 DAYS"))
         ).alias("week_start"),
     )
-    scoped = scan_date_range(panel, first, last).withColumn(
-        "week_start", week_bucket(F.col("txn_date"))
-    )
-    if week_rows <= config.MAX_BROADCAST_INTERVENTION_ROWS:  # proven bound, no extra count
-        weeks = F.broadcast(weeks)
-    return scoped.join(weeks, "week_start").where(F.col("txn_date").between(F.col("lo"), F.col("hi")))
+    scoped = scan_date_range(panel, first, last).withColumn("week_start", week_bucket(F.col("txn_date")))
+    in_window = F.col("txn_date").between(F.col("lo"), F.col("hi"))
+    if week_rows <= config.MAX_BROADCAST_WINDOW_WEEK_ROWS:  # proven bound, no extra count
+        return scoped.join(F.broadcast(weeks), "week_start").where(in_window)
+    salted = scoped.withColumn("_salt", F.pmod(F.xxhash64("merchant_id"), F.lit(salt_buckets)).cast("int"))
+    weeks = weeks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return salted.join(weeks, ["week_start", "_salt"]).where(in_window).drop("_salt")
 
 
 def weekly_revenue(panel: DataFrame, windows: DataFrame, window: str = "match") -> DataFrame:

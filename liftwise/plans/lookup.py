@@ -21,8 +21,11 @@ def lookup_intervention(view: DataFrame, lookups: DataFrame) -> DataFrame:
     """(query_id, query_text, intervention_id): the first id (by id order) whose name
     matches the pattern, case-insensitively; NULL when nothing matches."""
     q = lookups.select("query_id", "query_text", F.lower(name_pattern(F.col("query_text"))).alias("pattern"))
-    q = broadcast_if_small(q, config.MAX_BROADCAST_INTERVENTION_ROWS)
-    names = view.select("intervention_id", F.lower("name").alias("lname"))
+    # Pattern matching is a non-equi join: broadcast the intervention names (metadata,
+    # counted) and stream the lookups, so any number of lookups runs in one pass.
+    names = broadcast_if_small(
+        view.select("intervention_id", F.lower("name").alias("lname")), config.MAX_BROADCAST_INTERVENTION_ROWS
+    )
     hits = q.join(names, F.expr("lname LIKE pattern"))
     first = Window.partitionBy("query_id").orderBy("intervention_id")
     best = hits.withColumn("rn", F.row_number().over(first)).where("rn = 1").select("query_id", "intervention_id")
