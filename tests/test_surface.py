@@ -147,3 +147,19 @@ def test_approval_gate_closes_lift(spark, ctx):
     rows = {r.intervention_id: r for r in causal_report(run, ctx.interventions, decisions).collect()}
     assert rows["INT_001"].approved and not rows["INT_002"].approved
     assert rows["INT_002"].lift_pct is None and rows["INT_002"].n_weeks is None
+
+
+def test_n_matches_default_and_validation():
+    from liftwise.operators.matching import resolve_n_matches
+
+    assert resolve_n_matches(None) == 10 and resolve_n_matches(0) == 10 and resolve_n_matches(3) == 3
+    with pytest.raises(ValueError):
+        resolve_n_matches(-1)
+
+
+def test_adhoc_rejects_relations_outside_allow_list(spark, ctx):
+    sql = f"SELECT COUNT(*) AS n FROM parquet.`{SF001}/lineitem.parquet`"
+    with pytest.raises(metrics.AdhocRejected):
+        metrics.adhoc_sql(spark, sql, {"transactions_enriched": ctx.gold})
+    ok = metrics.adhoc_sql(spark, "SELECT COUNT(*) AS n FROM transactions_enriched", {"transactions_enriched": ctx.gold})
+    assert ok.first().n > 0
