@@ -43,11 +43,11 @@ def n_slots(match_window_days: int = config.MATCH_WINDOW_DAYS) -> int:
     return (match_window_days + 6) // 7 + 1
 
 
-def weekly_cents(panel: DataFrame, windows: DataFrame) -> DataFrame:
+def weekly_cents(panel: DataFrame, windows: DataFrame, bounds=None) -> DataFrame:
     """(intervention_id, merchant_id, slot, base_week, cents): exact weekly revenue over
     the match window, one row per week a merchant has rows in. Partial sums are
     combined map-side before the shuffle on (intervention, merchant, slot)."""
-    rows = rows_in_windows(panel, windows, "pre_start", "pre_end")
+    rows = rows_in_windows(panel, windows, "pre_start", "pre_end", bounds=bounds)
     base = week_bucket(F.col("lo"))
     slot = (F.datediff(F.col("week_start"), base) / 7).cast("int")
     return rows.groupBy("intervention_id", "merchant_id", slot.alias("slot"), base.alias("base_week")).agg(
@@ -55,12 +55,14 @@ def weekly_cents(panel: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def match_vectors(panel: DataFrame, windows: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS) -> DataFrame:
+def match_vectors(
+    panel: DataFrame, windows: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS, bounds=None
+) -> DataFrame:
     """(intervention_id, merchant_id, base_week, weekly_cents): weekly revenue over the
     match window as array<bigint> of exact cents aligned to the week slots, NULL where
     the merchant has no row that week. Each group holds at most `n_slots` weeks."""
     width = n_slots(match_window_days)
-    weekly = weekly_cents(panel, windows)
+    weekly = weekly_cents(panel, windows, bounds)
     entries = F.map_from_entries(F.collect_list(F.struct("slot", "cents")))
     return (
         weekly.groupBy("intervention_id", "merchant_id")
@@ -102,9 +104,14 @@ def vectors_as_rows(vectors: DataFrame, value: str, alias: str) -> DataFrame:
     )
 
 
-def split_cohorts(normalized: DataFrame, treated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Treated vectors and control vectors (merchants not treated in that intervention)."""
-    cohort = broadcast_if_small(treated.select("intervention_id", "merchant_id"), config.MAX_BROADCAST_DIMENSION_ROWS)
+def split_cohorts(normalized: DataFrame, treated: DataFrame, n_treated: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Treated vectors and control vectors (merchants not treated in that intervention).
+    The cohort table is broadcast under the row bound (`n_treated` if known, else counted)."""
+    cohort = treated.select("intervention_id", "merchant_id")
+    if n_treated is None:
+        cohort = broadcast_if_small(cohort, config.MAX_BROADCAST_DIMENSION_ROWS)
+    elif n_treated <= config.MAX_BROADCAST_DIMENSION_ROWS:
+        cohort = F.broadcast(cohort)
     keys = ["intervention_id", "merchant_id"]
     return normalized.join(cohort, keys, "left_semi"), normalized.join(cohort, keys, "left_anti")
 
@@ -304,15 +311,16 @@ def match_controls(
     n_matches: int | None = None,
     match_window_days: int = config.MATCH_WINDOW_DAYS,
     checkpoint: bool = True,
+    bounds=None,
 ) -> DataFrame:
     """(intervention_id, treated_merchant_id, control_merchant_id, total_residual,
     common_weeks, match_rank, similarity_score) for every intervention in `windows`."""
     k = resolve_n_matches(n_matches)
-    normalized = normalize_vectors(match_vectors(panel, windows, match_window_days))
+    normalized = normalize_vectors(match_vectors(panel, windows, match_window_days, bounds))
     normalized = normalized.select("intervention_id", "merchant_id", "vec")
     if checkpoint:
         normalized = cut_lineage(normalized)
-    t_vecs, c_vecs = split_cohorts(normalized, treated)
+    t_vecs, c_vecs = split_cohorts(normalized, treated, bounds.n_treated if bounds is not None else None)
     return rank_candidates(candidate_pairs(t_vecs, c_vecs, k), k)
 
 

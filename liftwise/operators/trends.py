@@ -40,14 +40,22 @@ def control_weights(matches: DataFrame) -> DataFrame:
     )
 
 
-def weekly_revenue_members(panel: DataFrame, windows: DataFrame, members: DataFrame) -> DataFrame:
+def weekly_revenue_members(
+    panel: DataFrame, windows: DataFrame, members: DataFrame, bounds=None, max_members: int | None = None
+) -> DataFrame:
     """(intervention_id, merchant_id, week_start, weekly_revenue) over the trend window,
-    for cohort members only."""
-    first, last, _ = window_summary(windows, "pre_start", "post_end")
+    for cohort members only. `max_members` is a proven bound on the member rows (treated
+    x (1 + k)); without it the member table is counted before any broadcast."""
+    if bounds is not None:
+        first, last = bounds.trend_first, bounds.trend_last
+    else:
+        first, last, _ = window_summary(windows, "pre_start", "post_end")
     spans = windows.select("intervention_id", F.col("pre_start").alias("lo"), F.col("post_end").alias("hi"))
-    member_spans = broadcast_if_small(
-        members.join(spans, "intervention_id"), config.MAX_BROADCAST_DIMENSION_ROWS
-    )
+    member_spans = members.join(spans, "intervention_id")
+    if max_members is None:
+        member_spans = broadcast_if_small(member_spans, config.MAX_BROADCAST_DIMENSION_ROWS)
+    elif max_members <= config.MAX_BROADCAST_DIMENSION_ROWS:
+        member_spans = F.broadcast(member_spans)
     rows = (
         scan_date_range(panel, first, last)
         .select("merchant_id", "txn_date", "amount")
@@ -74,9 +82,15 @@ def control_weekly_avg(weekly: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def trend_series(treated_avg: DataFrame, control_avg: DataFrame, windows: DataFrame) -> DataFrame:
+def trend_series(
+    treated_avg: DataFrame, control_avg: DataFrame, windows: DataFrame, n_windows: int | None = None
+) -> DataFrame:
     """Unrounded weekly series with week_number, period, ratio, baseline and lift_pct."""
-    starts = broadcast_if_small(windows.select("intervention_id", "start_date"), config.MAX_BROADCAST_INTERVENTION_ROWS)
+    starts = windows.select("intervention_id", "start_date")
+    if n_windows is None:
+        starts = broadcast_if_small(starts, config.MAX_BROADCAST_INTERVENTION_ROWS)
+    elif n_windows <= config.MAX_BROADCAST_INTERVENTION_ROWS:
+        starts = F.broadcast(starts)
     t = treated_avg.join(control_avg, ["intervention_id", "week_start"]).join(starts, "intervention_id")
     ratio = safe_div(F.col("treated_avg_revenue"), F.col("control_avg_revenue"))
     per_iv = Window.partitionBy("intervention_id")

@@ -12,6 +12,9 @@ min/max of the bounds is also applied as a literal filter so it reaches the scan
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +54,54 @@ def date_bounds(windows: DataFrame, lo: str, hi: str):
     return first, last
 
 
+@dataclass(frozen=True)
+class RunBounds:
+    """Sizes and date bounds of a set of interventions, from one small action. Every
+    broadcast decision of a causal run is taken against these proven bounds."""
+
+    n_interventions: int
+    n_treated: int
+    match_first: dt.date | None
+    match_last: dt.date | None
+    trend_first: dt.date | None
+    trend_last: dt.date | None
+    match_week_rows: int
+    trend_week_rows: int
+
+    def window(self, hi: str):
+        if hi == "pre_end":
+            return self.match_first, self.match_last, self.match_week_rows
+        return self.trend_first, self.trend_last, self.trend_week_rows
+
+
+def run_bounds(windows: DataFrame, treated: DataFrame) -> RunBounds:
+    per_iv = treated.groupBy("intervention_id").agg(F.count(F.lit(1)).alias("n_t"))
+    row = (
+        windows.join(per_iv, "intervention_id", "left")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.coalesce("n_t", F.lit(0))).alias("n_t"),
+            F.min("pre_start").alias("lo"),
+            F.max("pre_end").alias("mhi"),
+            F.max("post_end").alias("thi"),
+            F.max(F.datediff("pre_end", "pre_start")).alias("mspan"),
+            F.max(F.datediff("post_end", "pre_start")).alias("tspan"),
+        )
+        .first()
+    )
+    n = int(row["n"] or 0)
+    return RunBounds(
+        n_interventions=n,
+        n_treated=int(row["n_t"] or 0),
+        match_first=row["lo"],
+        match_last=row["mhi"],
+        trend_first=row["lo"],
+        trend_last=row["thi"],
+        match_week_rows=n * (int(row["mspan"] or 0) // 7 + 2),
+        trend_week_rows=n * (int(row["tspan"] or 0) // 7 + 2),
+    )
+
+
 def window_summary(windows: DataFrame, lo: str, hi: str):
     """One small action over the windows: (min lo, max hi, upper bound on the rows of the
     intervention x week table)."""
@@ -64,7 +115,14 @@ def window_summary(windows: DataFrame, lo: str, hi: str):
     return row["lo"], row["hi"], week_rows
 
 
-def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str, salt_buckets: int = 32) -> DataFrame:
+def rows_in_windows(
+    panel: DataFrame,
+    windows: DataFrame,
+    lo: str,
+    hi: str,
+    salt_buckets: int = 32,
+    bounds: RunBounds | None = None,
+) -> DataFrame:
     """Panel rows (any columns, incl. `txn_date`) paired with every window that contains
     them; adds intervention_id, week_start and the window bounds `lo`/`hi`.
 
@@ -74,7 +132,7 @@ def rows_in_windows(panel: DataFrame, windows: DataFrame, lo: str, hi: str, salt
     week table is replicated once per salt value, spreading every week over
     `salt_buckets` tasks.
     """
-    first, last, week_rows = window_summary(windows, lo, hi)
+    first, last, week_rows = bounds.window(hi) if bounds is not None else window_summary(windows, lo, hi)
     weeks = windows.select(
         "intervention_id",
         F.col(lo).alias("lo"),

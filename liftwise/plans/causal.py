@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from liftwise import config
 from liftwise.functions.joins import broadcast_if_small
 from liftwise.operators import lift, matching, trends
+from liftwise.operators.windows import RunBounds, run_bounds
 from liftwise.session import cut_lineage
 
 
@@ -33,10 +34,21 @@ class CausalRun:
     def _keep(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.checkpoint else df
 
+    @cached_property
+    def bounds(self) -> RunBounds:
+        """One small action: counts and date bounds behind every broadcast decision."""
+        return run_bounds(self.windows, self.treated)
+
     @cached_property
     def matches(self) -> DataFrame:
         m = matching.match_controls(
-            self.panel, self.windows, self.treated, self.n_matches, self.match_window_days, self.checkpoint
+            self.panel,
+            self.windows,
+            self.treated,
+            self.n_matches,
+            self.match_window_days,
+            self.checkpoint,
+            bounds=self.bounds,
         )
         return self._keep(m)
 
@@ -51,7 +63,12 @@ class CausalRun:
     @cached_property
     def weekly(self) -> DataFrame:
         # Read by both the treated and the control averages: one scan of the trend window.
-        return self._keep(trends.weekly_revenue_members(self.panel, self.windows, self.members))
+        k = matching.resolve_n_matches(self.n_matches)
+        return self._keep(
+            trends.weekly_revenue_members(
+                self.panel, self.windows, self.members, self.bounds, max_members=self.bounds.n_treated * (1 + k)
+            )
+        )
 
     @cached_property
     def treated_avg(self) -> DataFrame:
@@ -65,7 +82,7 @@ class CausalRun:
     def series(self) -> DataFrame:
         # <= ~61 rows per intervention, derived from the checkpointed weekly table:
         # recomputing it is cheaper than another write.
-        return trends.trend_series(self.treated_avg, self.control_avg, self.windows)
+        return trends.trend_series(self.treated_avg, self.control_avg, self.windows, self.bounds.n_interventions)
 
     @property
     def parallel_trends(self) -> DataFrame:
