@@ -9,8 +9,9 @@ Semantics (per intervention):
     this intervention, ties broken by control id; score = round(1 / (1 + r), 4).
 
 Plan:
-  1. one aggregation turns daily rows into a fixed-width vector per (intervention,
-     merchant): slot i = week i of the window. One shuffle, partial sums map-side.
+  1. weekly sums per distinct match window (interventions sharing a start share the
+     scan), collected into a fixed-width vector per (window, merchant): slot i = week i
+     of the window. Partial sums are combined map-side; the collect is bounded by 53.
   2. normalisation is array arithmetic on that row (no join back to the means).
   3. treated vectors are cut into blocks and controls into chunks by a hash of the
      merchant id; each (treated block, control chunk) pair is one row, and a NumPy
@@ -44,31 +45,34 @@ def n_slots(match_window_days: int = config.MATCH_WINDOW_DAYS) -> int:
 
 
 def weekly_cents(panel: DataFrame, windows: DataFrame, bounds=None) -> DataFrame:
-    """(intervention_id, merchant_id, slot, base_week, cents): exact weekly revenue over
-    the match window, one row per week a merchant has rows in. Partial sums are
-    combined map-side before the shuffle on (intervention, merchant, slot)."""
-    rows = rows_in_windows(panel, windows, "pre_start", "pre_end", bounds=bounds)
+    """(pre_start, merchant_id, slot, base_week, cents): exact weekly revenue per distinct
+    match window (keyed by its first day), one row per week a merchant has rows in.
+    Partial sums are combined map-side before the shuffle."""
+    shared = windows.select("pre_start", "pre_end").distinct()
+    rows = rows_in_windows(panel, shared, "pre_start", "pre_end", bounds=bounds, key="pre_start")
     base = week_bucket(F.col("lo"))
     slot = (F.datediff(F.col("week_start"), base) / 7).cast("int")
-    return rows.groupBy("intervention_id", "merchant_id", slot.alias("slot"), base.alias("base_week")).agg(
+    return rows.groupBy("pre_start", "merchant_id", slot.alias("slot"), base.alias("base_week")).agg(
         F.sum(cents(F.col("amount"))).alias("cents")
     )
 
 
-def match_vectors(
+def window_vectors(
     panel: DataFrame, windows: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS, bounds=None
 ) -> DataFrame:
-    """(intervention_id, merchant_id, base_week, weekly_cents): weekly revenue over the
+    """(pre_start, merchant_id, base_week, weekly_cents): weekly revenue over each distinct
     match window as array<bigint> of exact cents aligned to the week slots, NULL where
-    the merchant has no row that week. Each group holds at most `n_slots` weeks."""
+    the merchant has no row that week. A vector depends on the window only, not on the
+    cohort, so interventions that share a window share one scan and one aggregation.
+    Each group holds at most `n_slots` weeks."""
     width = n_slots(match_window_days)
     weekly = weekly_cents(panel, windows, bounds)
     entries = F.map_from_entries(F.collect_list(F.struct("slot", "cents")))
     return (
-        weekly.groupBy("intervention_id", "merchant_id")
+        weekly.groupBy("pre_start", "merchant_id")
         .agg(F.min("base_week").alias("base_week"), entries.alias("by_slot"))
         .select(
-            "intervention_id",
+            "pre_start",
             "merchant_id",
             "base_week",
             F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.try_element_at("by_slot", i)).alias(
@@ -78,6 +82,24 @@ def match_vectors(
     )
 
 
+def attach_interventions(vectors: DataFrame, windows: DataFrame, bounds=None) -> DataFrame:
+    """Key window vectors by intervention (join on the window's first day; the
+    intervention table is broadcast under its row bound)."""
+    ivs = windows.select("intervention_id", "pre_start")
+    if bounds is None:
+        ivs = broadcast_if_small(ivs, config.MAX_BROADCAST_INTERVENTION_ROWS)
+    elif bounds.n_interventions <= config.MAX_BROADCAST_INTERVENTION_ROWS:
+        ivs = F.broadcast(ivs)
+    return vectors.join(ivs, "pre_start").drop("pre_start")
+
+
+def match_vectors(
+    panel: DataFrame, windows: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS, bounds=None
+) -> DataFrame:
+    """(intervention_id, merchant_id, base_week, weekly_cents) for every intervention."""
+    return attach_interventions(window_vectors(panel, windows, match_window_days, bounds), windows, bounds)
+
+
 def normalize_vectors(vectors: DataFrame) -> DataFrame:
     """Adds `weekly` (revenue as double), mean_revenue (exact, over weeks present) and
     `vec` = weekly / NULLIF(mean, 0)."""
@@ -316,10 +338,11 @@ def match_controls(
     """(intervention_id, treated_merchant_id, control_merchant_id, total_residual,
     common_weeks, match_rank, similarity_score) for every intervention in `windows`."""
     k = resolve_n_matches(n_matches)
-    normalized = normalize_vectors(match_vectors(panel, windows, match_window_days, bounds))
-    normalized = normalized.select("intervention_id", "merchant_id", "vec")
+    shared = normalize_vectors(window_vectors(panel, windows, match_window_days, bounds))
+    shared = shared.select("pre_start", "merchant_id", "vec")
     if checkpoint:
-        normalized = cut_lineage(normalized)
+        shared = cut_lineage(shared)
+    normalized = attach_interventions(shared, windows, bounds)
     t_vecs, c_vecs = split_cohorts(normalized, treated, bounds.n_treated if bounds is not None else None)
     return rank_candidates(candidate_pairs(t_vecs, c_vecs, k), k)
 

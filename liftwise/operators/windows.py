@@ -122,9 +122,10 @@ def rows_in_windows(
     hi: str,
     salt_buckets: int = 32,
     bounds: RunBounds | None = None,
+    key: str = "intervention_id",
 ) -> DataFrame:
     """Panel rows (any columns, incl. `txn_date`) paired with every window that contains
-    them; adds intervention_id, week_start and the window bounds `lo`/`hi`.
+    them; adds the window `key` column, week_start and the window bounds `lo`/`hi`.
 
     The (intervention x week) table is broadcast when its proven row bound allows.
     Beyond that it is joined by shuffle on (week_start, salt): a week key alone has only
@@ -134,7 +135,7 @@ def rows_in_windows(
     """
     first, last, week_rows = bounds.window(hi) if bounds is not None else window_summary(windows, lo, hi)
     weeks = windows.select(
-        "intervention_id",
+        key,
         F.col(lo).alias("lo"),
         F.col(hi).alias("hi"),
         F.explode(

@@ -168,3 +168,22 @@ def test_salted_range_join_equals_broadcast(spark, monkeypatch):
     monkeypatch.setattr(config, "MAX_BROADCAST_WINDOW_WEEK_ROWS", 0)
     salted = sorted(tuple(r) for r in W.rows_in_windows(p, win, "pre_start", "post_end", salt_buckets=4).select(*cols).collect())
     assert fast == salted and len(fast) > 0
+
+
+def test_partitioning_changes_nothing(spark):
+    series = {f"M{i}": full_range(wave(100 + 11 * i, phase=2 * i)) for i in range(1, 9)}
+    ivs = [("A", ["M1", "M2"], START, 60), ("B", ["M3"], START - dt.timedelta(days=17), 60)]
+    base = run_for(spark, series, ivs, n=3)
+    cols = ["intervention_id", "treated_merchant_id", "control_merchant_id", "match_rank", "total_residual"]
+    expected = sorted(tuple(r) for r in base.matches.select(*cols).collect())
+    expected_lift = sorted(tuple(r) for r in base.estimate_lift().collect())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        p = make_panel(spark, series).repartition(5).orderBy(F.rand(7))
+        iv = make_interventions(spark, ivs)
+        run = CausalRun(p, intervention_windows(iv), treated_merchants(iv), 3, checkpoint=False)
+        assert sorted(tuple(r) for r in run.matches.select(*cols).collect()) == expected
+        assert sorted(tuple(r) for r in run.estimate_lift().collect()) == expected_lift
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
