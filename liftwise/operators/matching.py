@@ -48,7 +48,11 @@ def weekly_cents(panel: DataFrame, windows: DataFrame, bounds=None) -> DataFrame
     """(pre_start, merchant_id, slot, base_week, cents): exact weekly revenue per distinct
     match window (keyed by its first day), one row per week a merchant has rows in.
     Partial sums are combined map-side before the shuffle."""
-    shared = windows.select("pre_start", "pre_end").distinct()
+    shared = windows.select("pre_start", "pre_end")
+    if bounds is not None and bounds.n_interventions <= config.MAX_BROADCAST_INTERVENTION_ROWS:
+        # Metadata under a proven row bound: de-duplicate in one partition, no shuffle.
+        shared = shared.coalesce(1)
+    shared = shared.distinct()
     rows = rows_in_windows(panel, shared, "pre_start", "pre_end", bounds=bounds, key="pre_start")
     base = week_bucket(F.col("lo"))
     slot = (F.datediff(F.col("week_start"), base) / 7).cast("int")
