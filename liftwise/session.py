@@ -35,21 +35,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def _context_or_none(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    sc = _context_or_none(spark)
+    return sc.applicationId if sc is not None else str(spark.conf.get("spark.app.id", id(spark)))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only in local mode."""
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context_or_none(spark)
+    if sc is None:  # server-side session: the cluster's setting is the only option
+        configured = spark.conf.get(CHECKPOINT_CONF, None)
+        if not configured:
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set on the server")
+        return configured.rstrip("/")
+    current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a folder every executor shares"
             )
         configured = tempfile.mkdtemp(prefix="liftwise-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -68,7 +86,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions have no SparkContext
-        return int(os.environ.get("BENCH_CPUS", "8"))
+    sc = _context_or_none(spark)
+    if sc is not None:
+        return int(sc.defaultParallelism)
+    return int(spark.conf.get("spark.default.parallelism", os.environ.get("BENCH_CPUS", "8")))
