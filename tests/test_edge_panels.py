@@ -8,7 +8,7 @@ import math
 from conftest import daily, day, make_interventions, make_panel
 from pyspark.sql import functions as F
 
-from liftwise.operators import lift, matching
+from liftwise.operators import lift
 from liftwise.operators.windows import intervention_windows, treated_merchants
 from liftwise.plans.causal import CausalRun
 
