@@ -163,3 +163,31 @@ def test_adhoc_rejects_relations_outside_allow_list(spark, ctx):
         metrics.adhoc_sql(spark, sql, {"transactions_enriched": ctx.gold})
     ok = metrics.adhoc_sql(spark, "SELECT COUNT(*) AS n FROM transactions_enriched", {"transactions_enriched": ctx.gold})
     assert ok.first().n > 0
+
+
+def test_inject_lift_overlapping_cohorts_multiply(spark):
+    p = make_panel(
+        spark,
+        {"M1": [(day("2024-01-01"), 100.0), (day("2024-02-01"), 100.0), (day("2024-03-01"), 100.0)]},
+    )
+    raw = make_interventions(
+        spark, [("A", ["M1"], day("2024-01-15"), 60), ("B", ["M1"], day("2024-02-15"), 60)]
+    ).withColumn("true_effect", F.when(F.col("intervention_id") == "A", 0.10).otherwise(0.20))
+    got = {str(r.txn_date): r.amount for r in panel.inject_lift(p, raw).collect()}
+    assert got == {"2024-01-01": 100.0, "2024-02-01": 110.0, "2024-03-01": 132.0}
+
+
+def test_seasonality_december_bump_and_weekend(spark):
+    rows = [
+        ("M1", day("2023-12-02"), 100.0, "urban", 6),  # Saturday in December
+        ("M2", day("2023-12-02"), 100.0, "campus", 6),
+        ("M3", day("2023-06-05"), 100.0, "highway", 1),  # Monday in June
+    ]
+    df = spark.createDataFrame(rows, "merchant_id string, txn_date date, amount double, location_type string, day_of_week int")
+    got = {r.merchant_id: r for r in panel.seasonality_factors(df).collect()}
+    assert got["M1"].weekday_factor == 0.70 and got["M2"].weekday_factor == 0.70
+    assert abs(got["M1"].annual_factor / got["M2"].annual_factor - 1.10) < 1e-12  # same wave, bump on urban only
+    assert got["M3"].weekday_factor == 0.94
+    doy = (day("2023-06-05").timetuple().tm_yday - 1) / 365.0
+    assert abs(got["M3"].annual_factor - (1 + 0.08 * math.sin(2 * math.pi * (doy - 0.25)))) < 1e-12
+    assert abs(got["M3"].deseasonalized_amount - 100.0 / (0.94 * got["M3"].annual_factor)) < 1e-9
