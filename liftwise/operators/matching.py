@@ -13,12 +13,14 @@ Plan:
      scan), collected into a fixed-width vector per (window, merchant): slot i = week i
      of the window. Partial sums are combined map-side; the collect is bounded by 53.
   2. normalisation is array arithmetic on that row (no join back to the means).
-  3. treated vectors are cut into blocks and controls into chunks by a hash of the
-     merchant id; each (treated block, control chunk) pair is one row, and a NumPy
-     kernel turns it into the k best controls of every treated unit in the block.
-     Treated blocks are broadcast when their counted size is under a byte budget,
-     otherwise replicated across control chunks by an equi-join on (intervention,
-     chunk), so no join key concentrates an intervention in one task.
+  3. treated vectors are cut into blocks per intervention and the window's merchants
+     into chunks by a hash of the merchant id, once per window (interventions sharing
+     a window share the chunks; each one's own cohort is masked in the kernel); each
+     (treated block, control chunk) pair is one row, and a NumPy kernel turns it into
+     the k best controls of every treated unit in the block. Treated blocks are
+     broadcast when their counted size is under a byte budget, otherwise replicated
+     across chunks by an equi-join on (window, chunk), so no join key concentrates an
+     intervention in one task.
   4. a final row_number per treated unit over the partial top-k lists (Spark plans
      it as a partial + final WindowGroupLimit).
   No (treated x control x week) rows exist at any point.
@@ -160,12 +162,13 @@ def _stack(vectors) -> np.ndarray:
 TILE_CELLS = 1 << 17  # 1 MB of float64 per working buffer (measured best of 64 KB..4 MB)
 
 
-def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int):
+def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int, exclude=None):
     """Exact partial top-k of one (treated block, control chunk) pair.
 
     Returns (treated index, control index, residual, common weeks) for every control
     whose residual is within the k smallest of its treated row (ties at the cut are
-    all kept, the final ranking breaks them by id).
+    all kept, the final ranking breaks them by id). Controls whose id is in `exclude`
+    (merchants treated in this intervention) are not candidates.
     """
     tv, cv = _stack(t_vecs), _stack(c_vecs)
     t_ok, c_ok = ~np.isnan(tv), ~np.isnan(cv)
@@ -191,6 +194,8 @@ def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int):
             acc += buf
     # Weeks both have, for every pair at once (exact: counts are small integers).
     common = (t_ok.astype(np.float32) @ c_ok.astype(np.float32).T).astype(np.int32)
+    if exclude is not None and len(exclude):
+        common[:, np.isin(np.asarray(c_ids, dtype=object), np.asarray(exclude, dtype=object))] = 0
     masked = np.where(common > 0, dist, np.inf)
     if cv.shape[0] > k:
         kth = np.partition(masked, k - 1, axis=1)[:, k - 1 : k]
@@ -205,12 +210,12 @@ def _kernel(k: int):
     def run(batches):
         for pdf in batches:
             parts = []
-            for iid, t_ids, t_vecs, c_ids, c_vecs in zip(
-                pdf["intervention_id"], pdf["t_ids"], pdf["t_vecs"], pdf["c_ids"], pdf["c_vecs"]
+            for iid, t_ids, t_vecs, c_ids, c_vecs, ex_ids in zip(
+                pdf["intervention_id"], pdf["t_ids"], pdf["t_vecs"], pdf["c_ids"], pdf["c_vecs"], pdf["ex_ids"]
             ):
                 if len(t_ids) == 0 or len(c_ids) == 0:
                     continue
-                ti, ci, dist, common = block_top_k(t_ids, t_vecs, c_ids, c_vecs, k)
+                ti, ci, dist, common = block_top_k(t_ids, t_vecs, c_ids, c_vecs, k, ex_ids)
                 parts.append(
                     pd.DataFrame(
                         {
@@ -228,73 +233,106 @@ def _kernel(k: int):
     return run
 
 
-def _with_blocks(vecs: DataFrame, counts: DataFrame, n_col: str, block: str) -> DataFrame:
-    return vecs.join(counts.select("intervention_id", n_col), "intervention_id").withColumn(
-        block, F.pmod(F.xxhash64("merchant_id"), F.col(n_col)).cast("int")
-    )
-
-
-def _blocks(vecs: DataFrame, block: str, prefix: str) -> DataFrame:
+def _blocks(vecs: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     items = F.collect_list(F.struct(F.col("merchant_id").alias("id"), F.col("vec").alias("v")))
     return (
-        vecs.groupBy("intervention_id", block)
+        vecs.groupBy(*keys)
         .agg(items.alias("items"))
-        .select(
-            "intervention_id",
-            block,
-            F.col("items.id").alias(f"{prefix}_ids"),
-            F.col("items.v").alias(f"{prefix}_vecs"),
-        )
+        .select(*keys, F.col("items.id").alias(f"{prefix}_ids"), F.col("items.v").alias(f"{prefix}_vecs"))
     )
 
 
+def _hash_block(n_col: str):
+    return F.pmod(F.xxhash64("merchant_id"), F.col(n_col)).cast("int")
+
+
 def candidate_pairs(
     treated_vecs: DataFrame,
-    control_vecs: DataFrame,
+    pool_vecs: DataFrame,
     k: int,
     treated_block_rows: int = config.TREATED_BLOCK_ROWS,
     control_chunk_rows: int = config.CONTROL_CHUNK_ROWS,
     broadcast_bytes: int = config.TREATED_BROADCAST_BYTES,
+    pool_key: str = "intervention_id",
+    exclusions: DataFrame | None = None,
+    max_exclusions: int | None = None,
 ) -> DataFrame:
-    """Partial top-k candidates per treated unit (see module docstring, step 3)."""
+    """Partial top-k candidates per treated unit (see module docstring, step 3).
+
+    `treated_vecs` has (intervention_id, merchant_id, vec, <pool_key>); `pool_vecs` has
+    (<pool_key>, merchant_id, vec), the candidate controls of every intervention in the
+    pool. With the default pool key each intervention has its own pool (controls
+    already exclude its cohort). With a shared pool (e.g. the match window) the pool's
+    chunks are built once for all interventions on it, and `exclusions`
+    (intervention_id, merchant_id) lists the ids each intervention may not use as
+    controls; they travel with the block pair (hashed into the same chunks) and are
+    masked by the kernel, so the result stays exact.
+    """
     spark = treated_vecs.sparkSession
-    width_expr = F.size("vec")
-    t_stats = treated_vecs.groupBy("intervention_id").agg(
-        F.count(F.lit(1)).alias("n_t"), F.max(width_expr).alias("width")
+    tv = treated_vecs.withColumn("_pool", F.col(pool_key))
+    pv = pool_vecs.withColumn("_pool", F.col(pool_key))
+    t_stats = tv.groupBy("intervention_id", "_pool").agg(
+        F.count(F.lit(1)).alias("n_t"), F.max(F.size("vec")).alias("width")
     )
-    c_stats = control_vecs.groupBy("intervention_id").agg(F.count(F.lit(1)).alias("n_c"))
-    stats = t_stats.join(c_stats, "intervention_id")
+    p_stats = pv.groupBy("_pool").agg(F.count(F.lit(1)).alias("n_c"))
+    stats = t_stats.join(p_stats, "_pool")
     # One row per intervention: metadata-sized, summarised in one small job.
     summary = stats.agg(
         F.count(F.lit(1)).alias("n_iv"),
+        F.countDistinct("_pool").alias("n_pools"),
         F.sum("n_t").alias("n_t"),
         F.max("width").alias("width"),
     ).first()
     n_iv = summary["n_iv"] or 0
     if n_iv == 0:
         return spark.createDataFrame([], CANDIDATE_SCHEMA)
-    tasks_per_iv = max(1, -(-2 * default_parallelism(spark) // n_iv))
-    stats = stats.select(
-        "intervention_id",
-        F.ceil(F.col("n_t") / treated_block_rows).cast("int").alias("n_tb"),
-        F.greatest(F.ceil(F.col("n_c") / control_chunk_rows), F.least(F.col("n_c"), F.lit(tasks_per_iv)))
+    small = n_iv <= config.MAX_BROADCAST_INTERVENTION_ROWS  # pools <= interventions
+    tasks_per_pool = max(1, -(-2 * default_parallelism(spark) // int(summary["n_pools"])))
+    iv_stats = stats.select(
+        "intervention_id", "_pool", F.ceil(F.col("n_t") / treated_block_rows).cast("int").alias("n_tb")
+    )
+    pool_stats = stats.select("_pool", "n_c").distinct().select(
+        "_pool",
+        F.greatest(F.ceil(F.col("n_c") / control_chunk_rows), F.least(F.col("n_c"), F.lit(tasks_per_pool)))
         .cast("int")
         .alias("n_cb"),
     )
-    if n_iv <= config.MAX_BROADCAST_INTERVENTION_ROWS:  # one row per intervention, counted above
-        stats = F.broadcast(stats)
-    t_blocks = _blocks(_with_blocks(treated_vecs, stats, "n_tb", "tb"), "tb", "t")
-    c_blocks = _blocks(_with_blocks(control_vecs, stats, "n_cb", "cb"), "cb", "c")
+    if small:
+        iv_stats, pool_stats = F.broadcast(iv_stats), F.broadcast(pool_stats)
+    t_blocks = _blocks(
+        tv.join(iv_stats, ["intervention_id", "_pool"]).withColumn("tb", _hash_block("n_tb")),
+        ["intervention_id", "_pool", "tb"],
+        "t",
+    )
+    c_blocks = _blocks(pv.join(pool_stats, "_pool").withColumn("cb", _hash_block("n_cb")), ["_pool", "cb"], "c")
 
     treated_bytes = int(summary["n_t"]) * (int(summary["width"] or 0) * 8 + 64)
     if treated_bytes <= broadcast_bytes:
-        pairs = c_blocks.join(F.broadcast(t_blocks), "intervention_id")
+        pairs = c_blocks.join(F.broadcast(t_blocks), "_pool")
     else:
-        replicated = t_blocks.join(stats.select("intervention_id", "n_cb"), "intervention_id").withColumn(
+        replicated = t_blocks.join(pool_stats, "_pool").withColumn(
             "cb", F.explode(F.sequence(F.lit(0), F.col("n_cb") - 1))
         )
-        pairs = c_blocks.join(replicated, ["intervention_id", "cb"])
-    pairs = pairs.select("intervention_id", "t_ids", "t_vecs", "c_ids", "c_vecs")
+        pairs = c_blocks.join(replicated.drop("n_cb"), ["_pool", "cb"])
+    if exclusions is None:
+        pairs = pairs.withColumn("ex_ids", F.array().cast("array<string>"))
+    else:
+        ex = (
+            exclusions.select("intervention_id", "merchant_id")
+            .join(iv_stats.select("intervention_id", "_pool"), "intervention_id")
+            .join(pool_stats, "_pool")
+            .withColumn("cb", _hash_block("n_cb"))
+            .groupBy("intervention_id", "cb")
+            .agg(F.collect_list("merchant_id").alias("ex_ids"))
+        )
+        if max_exclusions is None:
+            ex = broadcast_if_small(ex, config.MAX_BROADCAST_DIMENSION_ROWS)
+        elif max_exclusions <= config.MAX_BROADCAST_DIMENSION_ROWS:
+            ex = F.broadcast(ex)
+        pairs = pairs.join(ex, ["intervention_id", "cb"], "left").withColumn(
+            "ex_ids", F.coalesce("ex_ids", F.array().cast("array<string>"))
+        )
+    pairs = pairs.select("intervention_id", "t_ids", "t_vecs", "c_ids", "c_vecs", "ex_ids")
     # Each row carries two blocks of vectors; bound the Arrow batch by bytes, not the
     # default 10,000 rows.
     row_bytes = (treated_block_rows + control_chunk_rows) * (int(summary["width"] or 1) * 8 + 64)
@@ -346,9 +384,22 @@ def match_controls(
     shared = shared.select("pre_start", "merchant_id", "vec")
     if checkpoint:
         shared = cut_lineage(shared)
-    normalized = attach_interventions(shared, windows, bounds)
-    t_vecs, c_vecs = split_cohorts(normalized, treated, bounds.n_treated if bounds is not None else None)
-    return rank_candidates(candidate_pairs(t_vecs, c_vecs, k), k)
+    # Treated vectors: the cohort keyed by its window, joined to the shared vectors.
+    n_treated = bounds.n_treated if bounds is not None else None
+    cohort = treated.select("intervention_id", "merchant_id").join(
+        windows.select("intervention_id", "pre_start"), "intervention_id"
+    )
+    if n_treated is None:
+        cohort = broadcast_if_small(cohort, config.MAX_BROADCAST_DIMENSION_ROWS)
+    elif n_treated <= config.MAX_BROADCAST_DIMENSION_ROWS:
+        cohort = F.broadcast(cohort)
+    t_vecs = shared.join(cohort, ["pre_start", "merchant_id"])
+    # Controls: every merchant of the window, chunked once per window; each
+    # intervention's own cohort is masked in the kernel.
+    pairs = candidate_pairs(
+        t_vecs, shared, k, pool_key="pre_start", exclusions=treated, max_exclusions=n_treated
+    )
+    return rank_candidates(pairs, k)
 
 
 def build_control_group(matches: DataFrame) -> DataFrame:

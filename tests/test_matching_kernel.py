@@ -75,3 +75,36 @@ def test_candidate_pairs_invariant_to_blocking(spark, block_rows, chunk_rows, bu
     key = lambda r: (r.intervention_id, r.treated_merchant_id, r.match_rank, r.control_merchant_id)
     assert sorted(map(key, ranked.collect())) == sorted(map(key, reference.collect()))
     assert ranked.count() == 5 * k
+
+
+@pytest.mark.parametrize("budget", [1 << 30, 0])
+def test_shared_pool_with_exclusions_equals_per_intervention_pools(spark, budget):
+    rng = np.random.default_rng(11)
+    shared_rows = []
+    for m in range(30):
+        v = rng.normal(1, 0.2, 8).round(3).tolist()
+        if m % 5 == 0:
+            v[m % 8] = None
+        shared_rows.append(("W1", f"M{m:03d}", v))
+    shared = spark.createDataFrame(shared_rows, "pre_start string, merchant_id string, vec array<double>")
+    treated = spark.createDataFrame(
+        [("A", "M001"), ("A", "M002"), ("B", "M002"), ("B", "M017"), ("B", "M020")],
+        "intervention_id string, merchant_id string",
+    )
+    ivs = spark.createDataFrame([("A", "W1"), ("B", "W1")], "intervention_id string, pre_start string")
+    k = 3
+    t_vecs = shared.join(treated.join(ivs, "intervention_id"), ["pre_start", "merchant_id"])
+    fast = matching.rank_candidates(
+        matching.candidate_pairs(
+            t_vecs, shared, k, treated_block_rows=2, control_chunk_rows=7, broadcast_bytes=budget,
+            pool_key="pre_start", exclusions=treated,
+        ),
+        k,
+    )
+    per_iv = shared.join(ivs, "pre_start").drop("pre_start")
+    t, c = matching.split_cohorts(per_iv, treated)
+    reference = matching.rank_candidates(matching.candidate_pairs(t, c, k), k)
+    key = lambda r: (r.intervention_id, r.treated_merchant_id, r.match_rank, r.control_merchant_id)
+    got = sorted(map(key, fast.collect()))
+    assert got == sorted(map(key, reference.collect())) and len(got) == 5 * k
+    assert not [g for g in got if (g[0], g[3]) in {("A", "M001"), ("A", "M002"), ("B", "M002"), ("B", "M017"), ("B", "M020")}]
