@@ -291,7 +291,7 @@ def candidate_pairs(
     iv_stats = stats.select(
         "intervention_id", "_pool", F.ceil(F.col("n_t") / treated_block_rows).cast("int").alias("n_tb")
     )
-    pool_stats = stats.select("_pool", "n_c").distinct().select(
+    pool_stats = p_stats.select(  # already one row per pool: no de-duplication needed
         "_pool",
         F.greatest(F.ceil(F.col("n_c") / control_chunk_rows), F.least(F.col("n_c"), F.lit(tasks_per_pool)))
         .cast("int")
