@@ -81,3 +81,21 @@ def stream_groups(
             yield from fn(pa.concat_tables(held))
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def keep_rows(df: DataFrame, text_col: str, keep: Callable) -> DataFrame:
+    """The rows of `df`, all columns, for whose text `keep` (list of texts -> mask) is true; a
+    null text is passed as the empty text. No shuffle."""
+    from liftwise.llm.words import chunks
+
+    k = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(k).to_pylist()]
+            for a, b in chunks(texts):
+                got = batch.slice(a, b - a).filter(pa.array(keep(texts[a:b])))
+                if got.num_rows:
+                    yield got
+
+    return df.mapInArrow(run, df.schema)

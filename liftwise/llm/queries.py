@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwise.llm import line_dedup, packing, token_output, url_filter
+from liftwise.llm import decontaminate, line_dedup, mtree, packing, quality, token_output, toxicity, url_filter
 from liftwise.llm.common import table
+from liftwise.llm.sample import fold
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    out = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +28,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "fetch_date", "blocked", "n_entries", "lists", "domains")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -31,8 +46,28 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 4) == 2
+    out = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_url_filters, op6_line_dedup, op8_token_output, op9_packing)
+    f.__name__: f
+    for f in (
+        op2_toxicity,
+        op3_top_k,
+        op4_url_filters,
+        op5_decontamination,
+        op6_line_dedup,
+        op8_token_output,
+        op9_packing,
+        op10_quality,
+    )
 }
 
-ORACLES: dict[str, str] = {"op4_url_filters": url_filter.ORACLE, "op6_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_top_k": mtree.ORACLE,
+    "op4_url_filters": url_filter.ORACLE,
+    "op6_line_dedup": line_dedup.ORACLE,
+}

@@ -45,33 +45,46 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+def lower(text: str) -> str:
+    """Lower case of the same length, so that offsets hold in the text as it came."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := ch.lower()) == 1 else ch for ch in text)
+
+
 @dataclass
 class Words:
     """Words of consecutive texts. `first[d]:first[d+1]` are the words of text d; `start` and
-    `end` are code-point offsets in the lower-cased text."""
+    `end` are code-point offsets in it. `part` hashes parts of the words."""
 
     hash: np.ndarray
     first: np.ndarray
     start: np.ndarray
     end: np.ndarray
+    _at: np.ndarray  # start in the joined texts
+    _sums: np.ndarray  # polynomial prefix sums over the joined texts
+
+    def part(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the words' code points from offset `begin` to `end` (within each word)."""
+        s, e = self._at + begin, self._at + end
+        return mix((self._sums[e] - self._sums[s]) * _powers(1 << max(20, len(self._sums).bit_length()))[1][s] + (e - s).astype(U))
 
 
 def words_of(texts: list[str]) -> Words:
-    lowered = [t.lower() for t in texts]
+    lowered = [lower(t) for t in texts]
     c = codes("\n".join(lowered) + "\n")
     lens = np.fromiter((len(t) + 1 for t in lowered), np.int64, len(lowered))
     base = np.concatenate(([0], np.cumsum(lens)))
     w = _is_word()[c]
     edge = np.flatnonzero(np.diff(w, prepend=False, append=False))
     s, e = edge[0::2], edge[1::2]
-    up, down = _powers(1 << max(20, int(len(c)).bit_length()))
+    up, down = _powers(1 << max(20, (len(c) + 1).bit_length()))
     v = mix(c.astype(U) + U(1))
     v *= up[: len(c)]
     p = np.concatenate((np.zeros(1, U), np.cumsum(v, dtype=U)))
     h = mix((p[e] - p[s]) * down[s] + (e - s).astype(U))
     first = np.searchsorted(s, base).astype(np.int64)
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    return Words(h, first, s - base[doc], e - base[doc])
+    return Words(h, first, s - base[doc], e - base[doc], s, p)
 
 
 def shingles_of(w: Words, d: int, size: int = SHINGLE) -> np.ndarray:
