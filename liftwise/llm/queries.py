@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwise.llm import decontaminate, line_dedup, mtree, packing, quality, token_output, toxicity, url_filter
+from liftwise.llm import decontaminate, line_dedup, mtree, near_dup, packing, quality, token_output, toxicity, url_filter
 from liftwise.llm.common import table
 from liftwise.llm.sample import fold
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 5) == 0
     out = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=~held_out)
@@ -55,6 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_jaccard_join,
         op2_toxicity,
         op3_top_k,
         op4_url_filters,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_jaccard_join": near_dup.ORACLE,
     "op3_top_k": mtree.ORACLE,
     "op4_url_filters": url_filter.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
