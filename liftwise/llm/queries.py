@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwise.llm import decontaminate, line_dedup, mtree, near_dup, packing, quality, token_output, toxicity, url_filter
+from liftwise.llm import decontaminate, line_dedup, mtree, near_dup, packing, quality, substring, token_output, toxicity, url_filter
 from liftwise.llm.common import table
 from liftwise.llm.sample import fold
 
@@ -41,6 +41,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.pack_matrix(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_url_filters,
         op5_decontamination,
         op6_line_dedup,
+        op7_substring_dedup,
         op8_token_output,
         op9_packing,
         op10_quality,
