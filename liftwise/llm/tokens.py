@@ -18,7 +18,7 @@ import unicodedata
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_000_000
 
 
 def default_path(name: str = TOKENIZER) -> str:
@@ -43,7 +43,10 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         w = self.words
-        raw = b"".join([w[x] for x in w.split(unicodedata.normalize("NFC", piece).lower())])
+        if piece.isascii() and piece.isalpha():
+            raw = w[piece.lower()]
+        else:
+            raw = b"".join([w[x] for x in w.split(unicodedata.normalize("NFC", piece).lower())])
         if len(self) >= CACHE_ENTRIES:
             self.clear()
         self[piece] = raw
@@ -68,13 +71,18 @@ class _Words(dict):
         return raw
 
 
-class PieceEncoder:
-    #: What _Words.split reads otherwise than the tokenizer: separators, numbers that are not
-    #: digits, letters with a context-dependent lower case, the special tokens' strings.
-    odd = None
+class _OddCharacters(dict):
+    """Character -> whether _Words.split may read it otherwise than the tokenizer: separators
+    that only Python takes for white space, numbers that are not digits, marks, and letters
+    with a context-dependent lower case."""
+
+    def __missing__(self, ch: str) -> bool:
+        self[ch] = odd = "\x1c" <= ch <= "\x1f" or ch in "Σİ" or unicodedata.category(ch) in ("Nl", "No", "Mn", "Mc", "Me")
+        return odd
 
+
+class PieceEncoder:
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -82,17 +90,15 @@ class PieceEncoder:
             spec = json.load(f)
         if spec["normalizer"]["normalizers"][-1] != {"type": "Lowercase"} or spec["model"]["end_of_word_suffix"] != "</w>":
             raise ValueError("expected a lower-casing tokenizer with word ends")
-        self.odd = regex.compile(r"[\x1c-\x1f]|<\||[\p{Nl}\p{No}Σİ\p{M}]")
+        self.odd = _OddCharacters()
         self.pieces = _Pieces(_Words(self.tok.model))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _plain(self, text: str) -> bool:
-        # a quick test first: Latin text without these has nothing odd
-        if text.isascii():
-            return "<|" not in text and not any(c in text for c in "\x1c\x1d\x1e\x1f")
-        return not self.odd.search(text)
+        odd = self.odd
+        return "<|" not in text and not any([odd[ch] for ch in set(text)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
