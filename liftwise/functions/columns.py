@@ -38,24 +38,35 @@ def similarity(total_residual: Column) -> Column:
 
 
 def merchant_code(int_key: Column) -> Column:
-    """`M%05d` identifiers from integer keys."""
-    return F.concat(F.lit("M"), F.lpad(int_key.cast("string"), 5, "0"))
+    """`M%05d` identifiers from integer keys: padded to five digits, never cut."""
+    digits = int_key.cast("string")
+    return F.concat(F.lit("M"), F.when(F.length(digits) >= 5, digits).otherwise(F.lpad(digits, 5, "0")))
 
 
 def cents(amount: Column) -> Column:
-    """Money as integer cents (amounts are cent-rounded by contract)."""
+    """Money rounded to integer cents; `sub_cents` is what the rounding leaves."""
     return F.round(amount * 100).cast("long")
 
 
+def sub_cents(amount: Column) -> Column:
+    """The rest of an amount beyond its cents, in millionths (0 for cent amounts)."""
+    return F.round((amount * 100 - F.round(amount * 100)) * 10_000).cast("long")
+
+
+def cents_sum(amount: Column) -> Column:
+    """SUM of money in cents as a double: integer cents and integer rests summed apart, so the
+    sum is independent of partitioning and order and no row is rounded away."""
+    return F.sum(cents(amount)) + F.sum(sub_cents(amount)) / F.lit(10_000.0)
+
+
 def money_sum(amount: Column) -> Column:
-    """Exact SUM of money: integer cents summed as longs, one division at the end.
-    Independent of partitioning and summation order, unlike a double sum."""
-    return F.sum(cents(amount)) / F.lit(100.0)
+    """Exact SUM of money (to the millionth), one division at the end."""
+    return cents_sum(amount) / F.lit(100.0)
 
 
 def money_avg(amount: Column) -> Column:
     """Exact AVG of money over non-NULL values: one correctly rounded division."""
-    return F.sum(cents(amount)) / (F.count(amount) * F.lit(100.0))
+    return cents_sum(amount) / (F.count(amount) * F.lit(100.0))
 
 
 def scan_date_range(df: DataFrame, first: dt.date | None, last: dt.date | None, column: str = "txn_date") -> DataFrame:

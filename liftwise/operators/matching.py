@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from liftwise import config
-from liftwise.functions.columns import cents, safe_div, similarity, week_bucket
+from liftwise.functions.columns import cents_sum, safe_div, similarity, week_bucket
 from liftwise.functions.joins import broadcast_if_small
 from liftwise.operators.windows import rows_in_windows
 from liftwise.session import cut_lineage, default_parallelism
@@ -59,7 +59,7 @@ def weekly_cents(panel: DataFrame, windows: DataFrame, bounds=None) -> DataFrame
     base = week_bucket(F.col("lo"))
     slot = (F.datediff(F.col("week_start"), base) / 7).cast("int")
     return rows.groupBy("pre_start", "merchant_id", slot.alias("slot"), base.alias("base_week")).agg(
-        F.sum(cents(F.col("amount"))).alias("cents")
+        F.round(cents_sum(F.col("amount"))).cast("long").alias("cents")
     )
 
 
@@ -71,7 +71,11 @@ def window_vectors(
     the merchant has no row that week. A vector depends on the window only, not on the
     cohort, so interventions that share a window share one scan and one aggregation.
     Each group holds at most `n_slots` weeks."""
-    width = n_slots(match_window_days)
+    if bounds is None:
+        span = windows.agg(F.max(F.datediff("pre_end", "pre_start"))).first()[0]
+    else:
+        span = bounds.match_span_days - 1
+    width = n_slots(max(match_window_days, (span or 0) + 1))  # as wide as the widest window
     weekly = weekly_cents(panel, windows, bounds)
     entries = F.map_from_entries(F.collect_list(F.struct("slot", "cents")))
     return (
@@ -166,8 +170,8 @@ def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int, exclude=None):
     """Exact partial top-k of one (treated block, control chunk) pair.
 
     Returns (treated index, control index, residual, common weeks) for every control
-    whose residual is within the k smallest of its treated row (ties at the cut are
-    all kept, the final ranking breaks them by id). Controls whose id is in `exclude`
+    whose residual is within the k smallest of its treated row, ties at the cut by
+    control id as in the final ranking. Controls whose id is in `exclude`
     (merchants treated in this intervention) are not candidates.
     """
     tv, cv = _stack(t_vecs), _stack(c_vecs)
@@ -203,6 +207,14 @@ def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int, exclude=None):
     else:
         keep = common > 0
     ti, ci = np.nonzero(keep)
+    if len(ti) > k * tv.shape[0] or (np.bincount(ti, minlength=1) > k).any():
+        # ties at the cut: the smaller control ids, so at most k leave the block per treated
+        place = np.empty(cv.shape[0], np.int64)
+        place[np.argsort(np.asarray(c_ids, dtype=object), kind="stable")] = np.arange(cv.shape[0])
+        order = np.lexsort((place[ci], dist[ti, ci], ti))
+        ti, ci = ti[order], ci[order]
+        nth = np.arange(len(ti)) - np.searchsorted(ti, ti)
+        ti, ci = ti[nth < k], ci[nth < k]
     return ti, ci, dist[ti, ci], common[ti, ci]
 
 
@@ -333,21 +345,16 @@ def candidate_pairs(
             "ex_ids", F.coalesce("ex_ids", F.array().cast("array<string>"))
         )
     pairs = pairs.select("intervention_id", "t_ids", "t_vecs", "c_ids", "c_vecs", "ex_ids")
-    # Each row carries two blocks of vectors; bound the Arrow batch by bytes, not the
-    # default 10,000 rows.
+    # The work of a task is its pairs, not its bytes: deal the pairs out by number, at most so
+    # many to a task that one Arrow batch of them stays bounded.
+    n_pairs = int(iv_stats.join(pool_stats, "_pool").agg(F.sum(F.col("n_tb").cast("long") * F.col("n_cb"))).first()[0] or 1)
     row_bytes = (treated_block_rows + control_chunk_rows) * (int(summary["width"] or 1) * 8 + 64)
-    _cap_arrow_batch(spark, max(1, KERNEL_BATCH_BYTES // row_bytes))
-    return pairs.mapInPandas(_kernel(k), CANDIDATE_SCHEMA)
+    most = max(1, KERNEL_BATCH_BYTES // row_bytes)
+    n_tasks = max(min(n_pairs, 2 * default_parallelism(spark)), -(-n_pairs // most))
+    return pairs.repartition(n_tasks).mapInPandas(_kernel(k), CANDIDATE_SCHEMA)
 
 
 KERNEL_BATCH_BYTES = 64 * 1024 * 1024
-ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def _cap_arrow_batch(spark, rows: int) -> None:
-    current = int(spark.conf.get(ARROW_BATCH_CONF, "10000"))
-    if current <= 0 or current > rows:
-        spark.conf.set(ARROW_BATCH_CONF, str(rows))
 
 
 def rank_candidates(candidates: DataFrame, n_matches: int) -> DataFrame:

@@ -16,7 +16,8 @@ from liftwise.functions.joins import broadcast_if_small
 
 def panel_spine(entities: DataFrame, facts: DataFrame, start, end) -> DataFrame:
     """Dense (merchant_id, txn_date) for every entity and every day in [start, end];
-    missing days get amount 0 and txn_count 0 and `observed = false`.
+    missing days get amount 0 and txn_count 0 and `observed = false`. Facts in the range
+    whose merchant is not among the entities stay, on their own days.
 
     Each entity row generates its own days (`sequence`), then one equi-join on
     (merchant_id, txn_date) brings in the facts.
@@ -25,8 +26,9 @@ def panel_spine(entities: DataFrame, facts: DataFrame, start, end) -> DataFrame:
         "merchant_id",
         F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("txn_date"),
     )
-    f = facts.select("merchant_id", "txn_date", "amount", "txn_count", F.lit(True).alias("observed"))
-    return days.join(f, ["merchant_id", "txn_date"], "left").select(
+    f = facts.where(F.col("txn_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    f = f.select("merchant_id", "txn_date", "amount", "txn_count", F.lit(True).alias("observed"))
+    return days.join(f, ["merchant_id", "txn_date"], "full_outer").select(
         "merchant_id",
         "txn_date",
         F.coalesce("amount", F.lit(0.0)).alias("amount"),
@@ -35,7 +37,9 @@ def panel_spine(entities: DataFrame, facts: DataFrame, start, end) -> DataFrame:
     )
 
 
-# Fixed values (calendar seasonality by location type).
+# Fixed values (calendar seasonality by location type). Other types have no weekday factor
+# and the wave of OTHER_WAVE; rows without a type have no factors.
+OTHER_WAVE = (0.03, 0.3)
 WEEKDAY_FACTORS = {  # location_type: (weekday, weekend)
     "urban": (1.12, 0.70),
     "campus": (1.12, 0.70),
@@ -54,11 +58,11 @@ DECEMBER_BUMP = 1.10
 DECEMBER_BUMP_TYPES = ("mall", "urban")
 
 
-def _by_location(loc: Column, table: dict, pick) -> Column:
+def _by_location(loc: Column, table: dict, pick, other) -> Column:
     expr = None
     for name, value in table.items():
         expr = (F.when(loc == name, pick(value)) if expr is None else expr.when(loc == name, pick(value)))
-    return expr.otherwise(F.lit(None))
+    return expr.otherwise(other)
 
 
 def seasonality_factors(gold: DataFrame) -> DataFrame:
@@ -67,13 +71,14 @@ def seasonality_factors(gold: DataFrame) -> DataFrame:
     loc = F.col("location_type")
     weekend = F.col("day_of_week") >= 6
     weekday = F.when(loc.isNull(), F.lit(1.0)).otherwise(
-        _by_location(loc, WEEKDAY_FACTORS, lambda v: F.when(weekend, F.lit(v[1])).otherwise(F.lit(v[0])))
+        _by_location(loc, WEEKDAY_FACTORS, lambda v: F.when(weekend, F.lit(v[1])).otherwise(F.lit(v[0])), F.lit(1.0))
     )
     doy = (F.dayofyear("txn_date") - 1) / F.lit(365.0)
-    wave = _by_location(
-        loc, ANNUAL_WAVES, lambda v: F.lit(1.0) + F.lit(v[0]) * F.sin(F.lit(2 * math.pi) * (doy - F.lit(v[1])))
-    )
-    wave = F.coalesce(wave, F.lit(1.0))
+
+    def curve(v):
+        return F.lit(1.0) + F.lit(v[0]) * F.sin(F.lit(2 * math.pi) * (doy - F.lit(v[1])))
+
+    wave = F.when(loc.isNull(), F.lit(1.0)).otherwise(_by_location(loc, ANNUAL_WAVES, curve, curve(OTHER_WAVE)))
     annual = F.when(loc.isin(*DECEMBER_BUMP_TYPES) & (F.month("txn_date") == 12), wave * DECEMBER_BUMP).otherwise(wave)
     return gold.select(
         "merchant_id",

@@ -42,18 +42,6 @@ def treated_merchants(interventions: DataFrame) -> DataFrame:
     )
 
 
-def assert_unique_interventions(interventions: DataFrame) -> None:
-    dupes = interventions.groupBy("intervention_id").count().where("count > 1").limit(5).collect()
-    if dupes:
-        raise ValueError(f"duplicate intervention ids: {[r.intervention_id for r in dupes]}")
-
-
-def date_bounds(windows: DataFrame, lo: str, hi: str):
-    """Overall [min(lo), max(hi)] of the windows: two scalars for scan pruning."""
-    first, last, _ = window_summary(windows, lo, hi)
-    return first, last
-
-
 @dataclass(frozen=True)
 class RunBounds:
     """Sizes and date bounds of a set of interventions, from one small action. Every
@@ -67,6 +55,7 @@ class RunBounds:
     trend_last: dt.date | None
     match_week_rows: int
     trend_week_rows: int
+    match_span_days: int = 0
 
     def window(self, hi: str):
         if hi == "pre_end":
@@ -80,6 +69,7 @@ def run_bounds(windows: DataFrame, treated: DataFrame) -> RunBounds:
         windows.join(per_iv, "intervention_id", "left")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.count_distinct("intervention_id").alias("n_ids"),
             F.sum(F.coalesce("n_t", F.lit(0))).alias("n_t"),
             F.min("pre_start").alias("lo"),
             F.max("pre_end").alias("mhi"),
@@ -90,6 +80,8 @@ def run_bounds(windows: DataFrame, treated: DataFrame) -> RunBounds:
         .first()
     )
     n = int(row["n"] or 0)
+    if n != int(row["n_ids"] or 0):
+        raise ValueError("intervention ids must be unique and not null: duplicates would repeat every match")
     return RunBounds(
         n_interventions=n,
         n_treated=int(row["n_t"] or 0),
@@ -99,6 +91,7 @@ def run_bounds(windows: DataFrame, treated: DataFrame) -> RunBounds:
         trend_last=row["thi"],
         match_week_rows=n * (int(row["mspan"] or 0) // 7 + 2),
         trend_week_rows=n * (int(row["tspan"] or 0) // 7 + 2),
+        match_span_days=int(row["mspan"] or 0) + 1,
     )
 
 

@@ -99,10 +99,19 @@ class CausalRun:
 APPROVAL_WORDS = ("yes", "y", "approve", "approved", "proceed")
 
 
+DECISION_ORDER = ("decided_at", "turn")
+
+
 def approved(decisions: DataFrame) -> DataFrame:
-    """(intervention_id) whose latest free-text decision reads as approval."""
-    ok = F.lower(F.trim(F.col("decision"))).isin(*APPROVAL_WORDS)
-    return decisions.where(ok).select("intervention_id").distinct()
+    """(intervention_id) whose latest free-text decision reads as approval. The latest is by
+    the first of the columns `decided_at`, `turn`; of decisions at the same time, and where
+    there is neither column, all must approve."""
+    ok = F.coalesce(F.lower(F.trim(F.col("decision"))).isin(*APPROVAL_WORDS), F.lit(False))
+    at = next((c for c in DECISION_ORDER if c in decisions.columns), None)
+    rows = decisions.select("intervention_id", F.col(at).alias("at") if at else F.lit(0).alias("at"), ok.alias("ok"))
+    # smallest of (no before yes) among the latest: max_by on the time, refusals winning ties
+    last = rows.groupBy("intervention_id", "at").agg(F.min("ok").alias("ok"))
+    return last.groupBy("intervention_id").agg(F.max_by("ok", "at").alias("ok")).where("ok").select("intervention_id")
 
 
 def causal_report(run: CausalRun, interventions: DataFrame, decisions: DataFrame | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwise import config
@@ -11,8 +11,9 @@ from liftwise.functions.joins import broadcast_if_small
 
 def name_pattern(text) -> F.Column:
     """Drop quotes and percent signs, split on whitespace, join tokens with '%', and
-    wrap in '%': 'mobile order' -> '%mobile%order%'."""
-    cleaned = F.trim(F.regexp_replace(text, "['%]", ""))
+    wrap in '%': 'mobile order' -> '%mobile%order%'. Backslash and underscore are
+    ordinary characters of a name."""
+    cleaned = F.regexp_replace(F.trim(F.regexp_replace(text, "['%]", "")), r"([\\_])", r"\\$1")
     tokens = F.filter(F.split(cleaned, r"\s+"), lambda t: t != "")
     return F.concat(F.lit("%"), F.array_join(tokens, "%"), F.lit("%"))
 
@@ -27,6 +28,5 @@ def lookup_intervention(view: DataFrame, lookups: DataFrame) -> DataFrame:
         view.select("intervention_id", F.lower("name").alias("lname")), config.MAX_BROADCAST_INTERVENTION_ROWS
     )
     hits = q.join(names, F.expr("lname LIKE pattern"))
-    first = Window.partitionBy("query_id").orderBy("intervention_id")
-    best = hits.withColumn("rn", F.row_number().over(first)).where("rn = 1").select("query_id", "intervention_id")
+    best = hits.groupBy("query_id").agg(F.min("intervention_id").alias("intervention_id"))  # combined map-side
     return lookups.select("query_id", "query_text").join(best, "query_id", "left")

@@ -47,9 +47,8 @@ def agent_view(interventions: DataFrame) -> DataFrame:
 
 
 def register_agent_view(spark: SparkSession, interventions: DataFrame, name: str) -> None:
-    interventions.createOrReplaceTempView(f"{name}__raw")
-    cols = ", ".join(config.AGENT_VIEW_COLUMNS)
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS SELECT {cols} FROM {name}__raw")
+    """Only the restricted view gets a name; the full table has none."""
+    agent_view(interventions).createOrReplaceTempView(name)
 
 
 def as_json_records(df: DataFrame) -> DataFrame:
