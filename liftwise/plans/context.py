@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from liftwise.operators.windows import intervention_windows, treated_merchants
 from liftwise.plans import medallion
-from liftwise.session import app_key, scratch_path
+from liftwise.session import app_key, scratch_path, ship_package
 from liftwise.sources import fixture, tables
 
 
@@ -69,6 +69,7 @@ _LOCK = threading.Lock()
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
+    ship_package(spark)
     key = (app_key(spark), os.path.abspath(sf_dir))
     with _LOCK:
         ctx = _CACHE.get(key)

@@ -42,6 +42,20 @@ def _context_or_none(spark: SparkSession):
         return None
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), for clusters on which it is
+    not installed. Local masters see the driver's files."""
+    sc = _context_or_none(spark)
+    if sc is None or sc.master.startswith("local") or getattr(sc, "_liftwise_shipped", False):
+        return
+    import shutil
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="liftwise-zip-"), "liftwise")
+    sc.addPyFile(shutil.make_archive(target, "zip", root, "liftwise"))  # served by the driver
+    sc._liftwise_shipped = True
+
+
 def app_key(spark: SparkSession) -> str:
     sc = _context_or_none(spark)
     return sc.applicationId if sc is not None else str(spark.conf.get("spark.app.id", id(spark)))
