@@ -6,7 +6,6 @@ columns, whatever their names, cannot clash with its working columns.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -37,16 +36,6 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hold_by(df: DataFrame, key: str, name: str) -> str:
-    """As `hold`, as a table bucketed by `key`: joins on the key do not shuffle these rows
-    again. Returns the name of the table; the caller drops it."""
-    spark = df.sparkSession
-    held, n = f"held_{uuid.uuid4().hex}", tasks(spark)
-    writer = df.repartition(n, key).write.bucketBy(n, key).format("parquet")
-    writer.option("path", scratch_path(spark, name)).saveAsTable(held)
-    return held
-
-
 def tasks(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
