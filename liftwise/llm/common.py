@@ -36,6 +36,23 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+FILTER_BITS = 1 << 23  # 256 rows of 4 KB
+
+
+def rows_maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of `df` whose `key` (a long) is in `wanted`'s, and few others: tested against
+    hashed keys in a bitmap of a fixed size, which is broadcast. For a join of few of `df`'s
+    rows, before its shuffle; with many more keys than bits it keeps everything."""
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    page, bit = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    pages = wanted.select(page.alias("page"), bit.alias("bit")).groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    of_row = df.withColumn("_page", page).withColumn("_bit", bit)
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    is_set = F.expr("_bit % 8").cast("int")
+    found = F.col("_page") == F.col("page"), F.call_function("getbit", byte, is_set) == 1
+    return of_row.join(F.broadcast(pages), found[0] & found[1], "left_semi").drop("_page", "_bit")
+
+
 def tasks(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
