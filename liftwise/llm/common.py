@@ -45,12 +45,13 @@ def rows_maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     rows, before its shuffle; with many more keys than bits it keeps everything."""
     slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
     page, bit = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
-    pages = wanted.select(page.alias("page"), bit.alias("bit")).groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    of_row = df.withColumn("_page", page).withColumn("_bit", bit)
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    is_set = F.expr("_bit % 8").cast("int")
-    found = F.col("_page") == F.col("page"), F.call_function("getbit", byte, is_set) == 1
-    return of_row.join(F.broadcast(pages), found[0] & found[1], "left_semi").drop("_page", "_bit")
+    slots = wanted.select(page.alias("_filter_page"), bit.alias("bit"))
+    pages = slots.groupBy("_filter_page").agg(F.bitmap_construct_agg("bit").alias("_filter_bits"))
+    byte = F.expr("conv(hex(substring(_filter_bits, cast(_row_bit div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    is_set = F.call_function("getbit", byte, F.expr("cast(_row_bit % 8 as int)")) == 1
+    of_row = df.withColumn("_row_page", page).withColumn("_row_bit", bit)
+    found = (F.col("_row_page") == F.col("_filter_page")) & is_set
+    return of_row.join(F.broadcast(pages), found, "left_semi").drop("_row_page", "_row_bit")
 
 
 def tasks(spark: SparkSession) -> int:

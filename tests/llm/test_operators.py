@@ -169,3 +169,15 @@ def test_pipeline_against_single_stages(spark):
     want = {r.doc_id for r in clean.collect()}
     got = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == want
+
+
+def test_bitmap_keeps_every_wanted_row_and_few_others(spark):
+    from liftwise.llm.common import rows_maybe_in
+
+    rows = spark.range(-500, 20_000).select("id", F.lit("x").alias("page"))
+    wanted = spark.range(-500, 20_000, 7).union(spark.range(3))
+    kept = rows_maybe_in(rows, "id", wanted)
+    assert kept.columns == ["id", "page"]
+    assert wanted.join(kept, "id", "left_anti").count() == 0
+    assert kept.count() <= wanted.distinct().count() + 100
+    assert rows_maybe_in(rows, "id", wanted.limit(0)).count() == 0
