@@ -64,3 +64,12 @@ def test_top_k_is_partial_then_final(spark):
     text = plan_text(matching.rank_candidates(matching.candidate_pairs(t, c, 10), 10))
     assert text.count("WindowGroupLimit") >= 2
     assert "MapInPandas" in text
+
+
+def test_sql_metric_prunes_by_year(spark):
+    text = plan_text(queries()["tvf_query_metric"](spark, SF001))
+    scans = [blk for blk in text.split("\n\n") if "Scan parquet" in blk and "transactions_enriched" in blk]
+    assert scans
+    for blk in scans:
+        assert "PartitionFilters: [" in blk and "year" in blk.split("PartitionFilters: [")[1].split("]")[0]
+        assert "region" not in blk.split("ReadSchema:")[1]
