@@ -181,3 +181,13 @@ def test_bitmap_keeps_every_wanted_row_and_few_others(spark):
     assert wanted.join(kept, "id", "left_anti").count() == 0
     assert kept.count() <= wanted.distinct().count() + 100
     assert rows_maybe_in(rows, "id", wanted.limit(0)).count() == 0
+
+
+def test_only_meetings_inside_found_passages_are_settled(spark):
+    """A pair is compared again where it meets outside the passages found for it."""
+    p = substring.Params()
+    m = [(2, 1, t * p.functions, u * p.functions) for t, u in ((10, 110), (45, 145), (60, 160), (10, 300), (200, 7))] + [(3, 1, 10 * p.functions, 110 * p.functions)]
+    meeting = spark.createDataFrame(m, "doc long, ref long, at long, ref_at long")
+    done = spark.createDataFrame([(2, 1, 5, 50, 105)], "doc_id long, ref_doc_id long, start long, length long, ref_start long")
+    left = {(r.doc, r.at // p.functions, r.ref_at // p.functions) for r in substring.outside(meeting, done, p).collect()}
+    assert left == {(2, 60, 160), (2, 10, 300), (2, 200, 7), (3, 10, 110)}
