@@ -191,3 +191,22 @@ def test_only_meetings_inside_found_passages_are_settled(spark):
     done = spark.createDataFrame([(2, 1, 5, 50, 105)], "doc_id long, ref_doc_id long, start long, length long, ref_start long")
     left = {(r.doc, r.at // p.functions, r.ref_at // p.functions) for r in substring.outside(meeting, done, p).collect()}
     assert left == {(2, 60, 160), (2, 10, 300), (2, 200, 7), (3, 10, 110)}
+
+
+def planted(k: int) -> tuple[list[str], str]:
+    """50 words, and a text in which 40 of them recur in the same order (no passage)."""
+    words = prose(50).split()
+    return words, " ".join(f"{prose(45)} {' '.join(words[5:45])}" for _ in range(k)) + " " + prose(45)
+
+
+def test_repeated_passages_hidden_by_references(spark):
+    """Passages whose groups have smaller references that hold but a phrase of them. The pair
+    (2, 3) is compared in the first round for x, too."""
+    x, texts, both = prose(60), {}, set()
+    for a in range(10, 610, 10):
+        y, hides = planted(2)
+        texts |= {a: hides, a + 1: f"{prose(40)} {x if a < 310 else ''} {prose(40)} {' '.join(y)} {prose(9)}", a + 2: f"{' '.join(y)} {prose(40)} {x if a < 310 else ''}"}
+        both.add((a + 2, a + 1))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.ref_doc_id) for r in substring.repeated_passages(df).collect() if r.start < 10}
+    assert both <= got
