@@ -210,3 +210,17 @@ def test_repeated_passages_hidden_by_references(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {(r.doc_id, r.ref_doc_id) for r in substring.repeated_passages(df).collect() if r.start < 10}
     assert both <= got
+
+
+def test_repeated_passages_with_edits(spark):
+    """One word in the middle of 50, and two words of 95: the similarity is 0.8."""
+    texts, both = {}, set()
+    for a in range(0, 1200, 2):
+        n, edits = (50, (6 + a // 2 % 38,)) if a < 800 else (95, (20, 68))
+        y = prose(n).split()
+        z = [f"x{a}" if k in edits else w for k, w in enumerate(y)]
+        texts |= {a: f"{prose(40)} {' '.join(y)} {prose(40)}", a + 1: f"{prose(30)} {' '.join(z)} {prose(50)}"}
+        both.add((a + 1, a))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.ref_doc_id) for r in substring.repeated_passages(df).collect()}
+    assert len(both - got) <= 3, sorted(both - got)
