@@ -11,7 +11,8 @@ query; every part of score >= `theta` is retrieved, without a limit on their num
 are grouped in ranges; array sums of the words' largest weights per range bound all passages
 of a batch at once, and block-max WAND runs over the ranges that can reach the threshold.
 
-Check. The item is looked up in the words around the passage: it is contained if at least
+Check. The item is looked up in the words around every passage retrieved for it; of those that
+contain it the one of the best score is reported. The item is contained if at least
 `overlap` of its question's five-word shingles and of its answer's occur. The answer is the
 text after the last line break, or the last sentence; an item of one sentence has none.
 
@@ -238,7 +239,8 @@ def search_texts(index: Index, texts: list[str]) -> Iterator[tuple[int, int, flo
     follows = np.ones(len(bound), bool)  # a half has a next half of the same text
     follows[first_half[1:] - 1] = False
     both = bound[:-1] + np.where(follows[:-1, None], bound[1:], 0)
-    best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
+    best: dict[tuple[int, int], tuple[float, float, float, int]] = {}  # passages that hold the item
+    checked: dict[tuple[int, int, int], tuple[float, float]] = {}
     for k, r in zip(*np.nonzero(both >= p.theta - 1e-4), strict=True):
         d = int(np.searchsorted(first_half, k, side="right") - 1)
         terms = np.unique(term_of[cut[k] : cut[k + 2 if follows[k] else k + 1]]).tolist()
@@ -246,13 +248,15 @@ def search_texts(index: Index, texts: list[str]) -> Iterator[tuple[int, int, flo
         for part, score in index.search(terms, int(index.range_first[r]), int(index.range_first[r + 1])):
             item = index.part_item[part]
             old = best.get((d, item))
-            if old is None or score > old[0]:
-                got = _overlap(index, item, w, d, at)
-                if old is None or min(got) > min(old[1:3]) or score > old[0] and got == old[1:3]:
-                    best[d, item] = (score, *got, at)
+            if old is not None and score <= old[0]:
+                continue  # an item already found, by a better passage
+            got = checked.get((d, item, at))
+            if got is None:
+                got = checked[d, item, at] = _overlap(index, item, w, d, at)
+            if min(got) >= p.overlap:
+                best[d, item] = (score, *got, at)
     for (d, item), (score, q, a, at) in best.items():
-        if q >= p.overlap and a >= p.overlap:
-            yield d, item, score, q, a, at
+        yield d, item, score, q, a, at
 
 
 def _overlap(index: Index, item: int, w: Words, d: int, at: int) -> tuple[float, float]:

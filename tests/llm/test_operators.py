@@ -224,3 +224,22 @@ def test_repeated_passages_with_edits(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {(r.doc_id, r.ref_doc_id) for r in substring.repeated_passages(df).collect()}
     assert len(both - got) <= 3, sorted(both - got)
+
+
+def test_contamination_after_a_quote(docs):
+    """An early passage that scores as high as the real one but fails the check."""
+    long, question, answer, short = prose(100), prose(30), prose(12), prose(60).split()
+    short[55] = "z." + short[55]
+    items = [(1, long), (2, question + "\n" + answer), (3, " ".join(short))]
+    index = decontaminate.Index(items, decontaminate.Params())
+    scattered = " ".join(w for w in reversed(answer.split()))
+    edited = " ".join(w if k != 30 else "changed" for k, w in enumerate(short))
+    texts = [
+        f"{' '.join(long.split()[:64])} {prose(400)} {long}",
+        f"{question} {scattered} {prose(400)} {question} {answer}",
+        f"{' '.join(short[::-1])} {prose(400)} {edited} {prose(200)}",
+    ]
+    found = {(d, index.ids[item]): (q, a, at) for d, item, _, q, a, at in decontaminate.search_texts(index, texts)}
+    assert set(found) == {(0, 1), (1, 2), (2, 3)}
+    assert all(q >= 0.8 and a >= 0.8 and at >= 256 for q, a, at in found.values())
+    assert not list(decontaminate.search_texts(index, [t[: len(t) // 3] for t in texts]))
