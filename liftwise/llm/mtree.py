@@ -158,14 +158,18 @@ class MTree:
 
 
 def distinct_best(x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of equal vectors the k + 1 smallest ids: no other can be among a query's k best."""
+    """Of equal vectors up to k rows of each of the k + 1 smallest ids: no other can be among a
+    query's k best, whichever id is its own."""
     order = np.lexsort((ids, *x.T[::-1]))
     x, ids = x[order], ids[order]
     new = np.ones(len(x), bool)
     new[1:] = (x[1:] != x[:-1]).any(axis=1)
-    start = np.flatnonzero(new)
-    place = np.arange(len(x)) - start[np.cumsum(new) - 1]
-    return x[place <= k], ids[place <= k]
+    other = new.copy()
+    other[1:] |= ids[1:] != ids[:-1]
+    n_ids, start = np.cumsum(other), np.flatnonzero(other)
+    place = np.arange(len(x)) - start[n_ids - 1]
+    keep = (n_ids - n_ids[np.flatnonzero(new)][np.cumsum(new) - 1] <= k) & (place < k)
+    return x[keep], ids[keep]
 
 
 # ---------------------------------------------------------------- Spark

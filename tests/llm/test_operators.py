@@ -243,3 +243,14 @@ def test_contamination_after_a_quote(docs):
     assert set(found) == {(0, 1), (1, 2), (2, 3)}
     assert all(q >= 0.8 and a >= 0.8 and at >= 256 for q, a, at in found.values())
     assert not list(decontaminate.search_texts(index, [t[: len(t) // 3] for t in texts]))
+
+
+def test_top_k_repeats_of_the_query_id(spark):
+    """Seven rows of the query's own id do not push out other ids of the same vector. By the
+    SQL each row of a query id asks: the best id comes once for each."""
+    data = [(0, [1.0, 2.0])] * 7 + [(9, [1.0, 2.0])] * 2 + [(i, [1.0, 2.0]) for i in (3, 4, 5)] + [(i, [0.5, 0.1]) for i in (1, 2)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {(r["rank"], r.vec_id) for r in mtree.top_k(df, F.col("vec_id") == 0).collect()}
+    assert got == {(k, 3) for k in range(1, 6)}
+    ids = np.array([0] * 7 + [9] * 2 + [3, 4, 5, 6, 7, 8])
+    assert mtree.distinct_best(np.ones((15, 2), np.int64), ids, 5)[1].tolist() == [0] * 5 + [3, 4, 5, 6, 7]
