@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwise.llm import decontaminate, line_dedup, mtree, near_dup, packing, quality, substring, token_output, toxicity, url_filter
+from liftwise.llm import (
+    bpe,
+    decontaminate,
+    line_dedup,
+    mtree,
+    near_dup,
+    packing,
+    periodic,
+    quality,
+    spelling,
+    substring,
+    token_output,
+    toxicity,
+    url_filter,
+)
 from liftwise.llm.common import table
 from liftwise.llm.sample import fold
 
@@ -60,6 +74,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted_words(table(spark, sf_dir, "documents"), alter=spelling.dropped_letters))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(periodic.with_periodic_tails(table(spark, sf_dir, "documents"))))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_output,
         op9_packing,
         op10_quality,
+        op11_spelling_variants,
+        op12_periodic_runs,
+        op13_bpe,
     )
 }
 
@@ -81,4 +111,5 @@ ORACLES: dict[str, str] = {
     "op3_top_k": mtree.ORACLE,
     "op4_url_filters": url_filter.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
 }
