@@ -232,7 +232,7 @@ WITH tab AS (
     list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(doc_id || ':' || w, ''), lambda ch :
       CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::UBIGINT]
            ELSE [192 + (unicode(ch) >> 6), 128 + (unicode(ch) & 63)]::UBIGINT[] END))),
-    lambda c, b : xor(c >> 8, tab.t[1 + (xor(c, b) & 255)]))) AS h
+    lambda c, b : xor(c >> 8, tab.t[1 + (xor(c, b) & 255)::BIGINT]))) AS h
   FROM low, tab
 ), altered AS (
   SELECT CASE WHEN h % 31 = 0 THEN w[:(h % length(w))::INT] || w[(h % length(w))::INT + 2:] ELSE w END AS word, k FROM hashed
