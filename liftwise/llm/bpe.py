@@ -1,7 +1,7 @@
 """Byte-level BPE encoding by traversal of a trie of words, and decoding.
 
-A text is split into words as the tokenizer file says; the distinct words that a task has not
-met are inserted into a trie, and a depth-first traversal carries along the path, for every
+A text is split into words as the tokenizer file says; the distinct words that a worker has not
+met are put into a trie, and a depth-first traversal carries along the path, for every
 prefix, the last token of that prefix's encoding. The encoding of a prefix ends in the one
 token t that is a suffix of it and is compatible with the last token u of what is before t;
 then the rest is the encoding of that. So a prefix shared by many words is computed once, and
@@ -13,7 +13,7 @@ makes its own parent (at equal rank the merge further left is first). This needs
 in which each token comes from one merge of two tokens of earlier ranks; files without this,
 or with options the traversal does not know, are refused.
 
-Plan: one pass over the texts, no shuffle. Word encodings are kept per task up to
+Plan: one pass over the texts, no shuffle. Word encodings are kept per Python worker up to
 `CACHE_BYTES`, the trie holds the new words of a chunk of texts. A task that runs again gives
 the same rows.
 
@@ -44,7 +44,7 @@ from liftwise.llm.tokens import _byte_letters, default_path
 from liftwise.llm.words import chunks
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 96 << 20  # of word encodings in a worker
 ENTRY_BYTES = 220  # of a cached word besides its own bytes and ids, about
 NEVER = 1 << 60
 
@@ -54,49 +54,27 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\
 
 
 class Trie:
-    """Words as a radix trie: node k has the bytes `label[k]` on the way from its parent, the
-    children `child[k]` by first byte, and the number of the word that ends in it or -1."""
-
-    def __init__(self):
-        self.label: list[bytes] = [b""]
-        self.child: list[dict[int, int]] = [{}]
-        self.word: list[int] = [-1]
-
-    def _node(self, label: bytes, word: int) -> int:
-        self.label.append(label)
-        self.child.append({})
-        self.word.append(word)
-        return len(self.label) - 1
-
-    def insert(self, word: bytes, number: int) -> None:
-        k, at = 0, 0
-        while at < len(word):
-            nxt = self.child[k].get(word[at])
-            if nxt is None:
-                self.child[k][word[at]] = self._node(word[at:], number)
-                return
-            label = self.label[nxt]
-            if not word.startswith(label, at):
-                n = 1
-                while at + n < len(word) and word[at + n] == label[n]:
-                    n += 1
-                split = self._node(label[:n], -1)
-                self.child[k][label[0]] = split
-                self.label[nxt] = label[n:]
-                self.child[split][label[n]] = nxt
-                nxt, label = split, label[:n]
-            k, at = nxt, at + len(label)
-        self.word[k] = number
-
-
-class ByteBpe:
-    """Vocabulary of a byte-level BPE file."""
+    """A trie of distinct words, laid out depth first: the words in order, each with the depth of
+    the node at which it leaves the path of the word before (the length they share)."""
+
+    def __init__(self, words: list[bytes]):
+        self.order = sorted(range(len(words)), key=words.__getitem__)
+        self.words = [words[k] for k in self.order]
+        self.depth = [0] * len(words)
+        old = b""
+        for k, w in enumerate(self.words):
+            n = min(len(old), len(w))
+            differ = int.from_bytes(old[:n]) ^ int.from_bytes(w[:n])
+            self.depth[k] = n - (differ.bit_length() + 7) // 8
+            old = w
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
+class Tokens:
+    """The bytes of each id of a byte-level BPE file (what decoding needs)."""
+
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            self.spec = spec = json.load(f)
         model, pre = spec["model"], spec["pre_tokenizer"] or {}
         known = model["type"] == "BPE" and not any(
             model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
@@ -106,19 +84,40 @@ class ByteBpe:
         if not (known and plain and split and spec["normalizer"] is None and (spec["decoder"] or {}).get("type") == "ByteLevel"):
             raise ValueError(f"{path}: expected a plain byte-level BPE")
         byte = {letter: b for b, letter in enumerate(_byte_letters())}
-        self.library = Tokenizer.from_file(path)
-        self.bytes_of_letters = byte
-        id_of = {bytes([byte[x] for x in token]): i for token, i in model["vocab"].items()}
+        self.id_of = {bytes([byte[x] for x in token]): i for token, i in model["vocab"].items()}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*id_of.values(), *self.added.values()]) + 1
+        size = max([*self.id_of.values(), *self.added.values()]) + 1
+        if size > 1 << 20:
+            raise ValueError(f"{path}: ids beyond 2**20")
         self.token = [b""] * size
-        for raw, i in id_of.items():
+        for raw, i in self.id_of.items():
             self.token[i] = raw
         for text, i in self.added.items():
             self.token[i] = text.encode()
+        lens = np.array([len(t) for t in self.token] + [0])  # one more, for ids beyond the vocabulary
+        self._joined = np.frombuffer(b"".join(self.token), np.uint8), np.cumsum(lens) - lens, lens
+
+    def decode(self, raw: bytes) -> str:
+        blob, start, lens = self._joined
+        ids = np.minimum(np.frombuffer(raw, "<u4"), len(lens) - 1).astype(np.int64)
+        n = lens[ids]
+        at = np.repeat(start[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return blob[at].tobytes().decode("utf-8", "replace")
+
+
+class ByteBpe(Tokens):
+    """Encoding with a byte-level BPE file."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__(path)
+        model, id_of, size = self.spec["model"], self.id_of, len(self.token)
+        self.library = Tokenizer.from_file(path)
         self._size = [len(t) for t in self.token]
         self._read_merges(model["merges"], model["vocab"], size)
         self._match_suffixes(id_of)
+        del self.spec, self.id_of
         self._pair: dict[int, bool] = {}
         self._edges_left: dict[int, list] = {}
         self._edges_right: dict[int, list] = {}
@@ -131,7 +130,7 @@ class ByteBpe:
 
     def _read_merges(self, merges: list, vocab: dict[str, int], size: int) -> None:
         """Rank of each pair of ids, and the two parts and the rank of each token."""
-        self.rank: dict[tuple[int, int], int] = {}
+        self.rank: dict[int, int] = {}  # by first << 20 | second
         self.parts: list[tuple[int, int] | None] = [None] * size
         self.made: list[int] = [-1] * size
         for r, pair in enumerate(merges):
@@ -139,7 +138,7 @@ class ByteBpe:
             x, y, t = vocab[a], vocab[b], vocab[a + b]
             if self.parts[t] is not None or max(self.made[x], self.made[y]) >= r:
                 raise ValueError("a token with two merges, or of a later part")
-            self.rank[x, y], self.parts[t], self.made[t] = r, (x, y), r
+            self.rank[x << 20 | y], self.parts[t], self.made[t] = r, (x, y), r
 
     def _match_suffixes(self, id_of: dict[bytes, int]) -> None:
         """An automaton over the tokens: `_goto[state * 256 + byte]`, `_fail[state]`, the longest
@@ -186,7 +185,7 @@ class ByteBpe:
 
     def compatible(self, u: int, t: int) -> bool:
         """Whether the bytes of u and t together are encoded as u, t."""
-        key = u << 32 | t
+        key = u << 20 | t
         got = self._pair.get(key)
         if got is None:
             right = self._edges_right.get(u) or self._edges_right.setdefault(u, self._edge(u, 1))
@@ -195,7 +194,7 @@ class ByteBpe:
             got = True
             for x, x_taken in right:
                 for y, y_taken in left:
-                    r = rank.get((x, y))
+                    r = rank.get(x << 20 | y)
                     if r is not None and r < x_taken and r <= y_taken:
                         got = False
                         break
@@ -208,21 +207,16 @@ class ByteBpe:
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word: trie, depth-first traversal, last token of every prefix."""
-        trie = Trie()
-        for k, w in enumerate(words):
-            trie.insert(w, k)
+        trie = Trie(words)
         out: list[list[int]] = [[]] * len(words)
         goto, fail, longest, shorter, compatible = self._goto, self._fail, self._longest, self._shorter, self.compatible
         size, fits = self._size, self._pair
-        path, last, states = bytearray(), [-1], [0]  # last[d]: last token of the path's first d bytes
-        stack = [(k, 0) for k in trie.child[0].values()]
-        while stack:
-            node, depth = stack.pop()
-            del path[depth:], last[depth + 1 :], states[depth + 1 :]
-            path += trie.label[node]
+        last, states = [-1], [0]  # by depth of the path: last token of the prefix, and the automaton's state
+        for number, w, depth in zip(trie.order, trie.words, trie.depth, strict=True):
+            del last[depth + 1 :], states[depth + 1 :]
             state = states[depth]
-            for d in range(depth, len(path)):
-                b = path[d]
+            for d in range(depth, len(w)):
+                b = w[d]
                 nxt = goto.get(state * 256 + b)
                 while nxt is None and state:
                     state = fail[state]
@@ -235,21 +229,19 @@ class ByteBpe:
                     if not before:
                         break
                     u = last[before]
-                    fit = fits.get(u << 32 | t)
+                    fit = fits.get(u << 20 | t)
                     if compatible(u, t) if fit is None else fit:
                         break
                     t = shorter[t]
                 else:
                     raise ValueError("the vocabulary lacks a byte")
                 last.append(t)
-            end = len(path)
-            if trie.word[node] >= 0:
-                ids, d = [], end
-                while d:
-                    ids.append(last[d])
-                    d -= size[last[d]]
-                out[trie.word[node]] = ids[::-1]
-            stack += [(k, end) for k in trie.child[node].values()]
+            ids, d = [], len(w)
+            while d:
+                ids.append(last[d])
+                d -= size[last[d]]
+            ids.reverse()
+            out[number] = ids
         return out
 
     def _is_odd(self, ch: str) -> bool:
@@ -291,18 +283,6 @@ class ByteBpe:
         end = {i: struct.pack("<I", i) for i in self.added.values()} | {None: b""}
         return [b"".join([b"".join(map(known.__getitem__, ws)) + end[special] for ws, special in ps]) for ps in parts]
 
-    @functools.cached_property
-    def _joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        lens = np.array([len(t) for t in self.token] + [0])  # one more, for ids beyond the vocabulary
-        return np.frombuffer(b"".join(self.token), np.uint8), np.cumsum(lens) - lens, lens
-
-    def decode(self, raw: bytes) -> str:
-        blob, start, lens = self._joined
-        ids = np.minimum(np.frombuffer(raw, "<u4"), len(lens) - 1).astype(np.int64)
-        n = lens[ids]
-        at = np.repeat(start[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return blob[at].tobytes().decode("utf-8", "replace")
-
 
 @functools.lru_cache(maxsize=1)
 def vocabulary(path: str) -> ByteBpe:
@@ -310,6 +290,11 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+@functools.lru_cache(maxsize=1)
+def tokens(path: str) -> Tokens:
+    return Tokens(path)
+
+
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids): the ids of each whole text as little-endian unsigned 32-bit integers."""
     path = tokenizer or default_path(TOKENIZER)
@@ -322,7 +307,6 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
                 raw = bpe.encode(texts[a:b])
                 n = pa.array([len(x) // 4 for x in raw], pa.int64())
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), n, pa.array(raw, pa.binary())], names=["doc_id", "n_tokens", "ids"])
-        bpe.known, bpe._held = {}, 0  # a worker that runs other tasks keeps the vocabulary only
 
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
@@ -335,11 +319,11 @@ def decode(df: DataFrame, ids_col: str = "ids", tokenizer: str | None = None) ->
     k = rest.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        vocab = tokens(path)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                texts = [None if x is None else bpe.decode(x) for x in part.column(k).to_pylist()]
+                texts = [None if x is None else vocab.decode(x) for x in part.column(k).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
     schema = rest.withColumn("decoded", F.lit(None).cast("string")).schema

@@ -12,15 +12,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwise.session import scratch_path
+from liftwise.session import scratch_path, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) only; a null text is the empty text."""
+    ship_package(df.sparkSession)
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),

@@ -17,11 +17,13 @@ contain it the one of the best score is reported. The item is contained if at le
 text after the last line break, or the last sentence; an item of one sentence has none.
 
 The benchmark is collected in slices of about `slice_items` items, each slice one pass over
-the documents, so what is sent to the tasks is bounded for a benchmark of any size.
+the documents, so what is sent to the tasks is bounded for a benchmark of any size. Document
+frequencies and lengths are those of the whole benchmark, so scores do not depend on slices.
 
 Defined results: null and empty texts contain nothing; items without words are skipped; a
-null item_id or doc_id is carried as null; rows are searched each by itself, so repeated
-rows give repeated results; empty tables give no rows.
+null item_id or doc_id is carried as null; documents are searched each by itself, so repeated
+rows give repeated results; repeated rows of the benchmark are one item; empty tables give no
+rows.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftwise.llm.common import id_text
+from liftwise.llm.common import hold, id_text
 from liftwise.llm.words import SHINGLE, Words, chunks, mix, words_of
 
 U = np.uint64
@@ -84,8 +86,26 @@ class Posting:
     top: float
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all parts of a benchmark: their number and mean length, and in how many of them each
+    of some words occurs (`words` sorted)."""
+
+    n: int
+    mean: float
+    words: np.ndarray
+    counts: np.ndarray
+
+
+def part_bags(h: np.ndarray, p: Params) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct words and their counts of each part of an item."""
+    return [np.unique(h[at : at + p.part_words], return_counts=True) for at in range(0, len(h), p.part_words)]
+
+
 class Index:
-    def __init__(self, items: list[tuple[int | None, str]], p: Params):
+    """`of_all`: statistics of the whole benchmark, where the items are a slice of it."""
+
+    def __init__(self, items: list[tuple[int | None, str]], p: Params, of_all: Statistics | None = None):
         self.p = p
         self.ids: list[int | None] = []
         self.lengths: list[int] = []
@@ -104,15 +124,15 @@ class Index:
                 if len(x):
                     size = min(SHINGLE, len(x))
                     sides.append((size, np.unique(runs(x, size))))
-            for at in range(0, len(h), p.part_words):
-                bags.append(np.unique(h[at : at + p.part_words], return_counts=True))
-                self.part_item.append(len(self.ids))
+            own = part_bags(h, p)
+            bags += own
+            self.part_item += [len(self.ids)] * len(own)
             self.ids.append(item_id)
             self.lengths.append(len(h))
             self.shingles.append(tuple(sides))
-        self._weigh(bags)
+        self._weigh(bags, of_all)
 
-    def _weigh(self, bags: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    def _weigh(self, bags: list[tuple[np.ndarray, np.ndarray]], of_all: Statistics | None) -> None:
         p, n = self.p, len(bags)
         self.vocabulary = np.unique(np.concatenate([h for h, _ in bags] or [np.zeros(0, U)]))
         part = np.repeat(np.arange(n), [len(h) for h, _ in bags])
@@ -120,8 +140,11 @@ class Index:
         tf = np.concatenate([c for _, c in bags] or [np.zeros(0)])
         df = np.bincount(term, minlength=len(self.vocabulary))
         length = np.bincount(part, tf, n)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * length[part] / max(length.mean() if n else 0, 1e-9)))
+        total, mean = n, max(length.sum() / n if n else 0, 1e-9)
+        if of_all is not None:
+            total, mean, df = of_all.n, of_all.mean, of_all.counts[np.searchsorted(of_all.words, self.vocabulary)]
+        idf = np.log1p((total - df + 0.5) / (df + 0.5))
+        weight = idf[term] * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * length[part] / mean))
         weight = weight / np.bincount(part, weight, n)[part]
         self.n_ranges = int(min(p.max_ranges, max(1, -(-n // p.range_parts))))
         self.range_of = np.arange(n) * self.n_ranges // max(n, 1)
@@ -270,11 +293,43 @@ def _overlap(index: Index, item: int, w: Words, d: int, at: int) -> tuple[float,
 
 def slices(benchmark: DataFrame, p: Params, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
     """Indexes of the benchmark, one per bounded slice of its items."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    items = items.distinct()
     n = -(-items.count() // p.slice_items)
+    if n == 1:
+        yield Index(_collected(items), p)
+        return
+    bags = hold(_part_words(items, p), "benchmark-words") if n else None
+    of_parts = bags.where("word IS NULL").agg(F.count("*").alias("n"), F.sum("length").alias("length")).first() if n else None
+    counts = hold(bags.where("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("n")), "benchmark-counts") if n else None
     for k in range(n):
-        some = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield Index(sorted(((r.item_id, r.text) for r in some.collect()), key=lambda x: (x[0] is None, x)), p)
+        mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k
+        words = bags.where((F.pmod("slice", F.lit(n)) == k) & F.col("word").isNotNull()).select("word").distinct()
+        rows = counts.join(words, "word").toPandas()  # the words of one slice
+        words = rows["word"].to_numpy(np.int64).view(U)
+        order = np.argsort(words)
+        of_all = Statistics(of_parts.n, max(of_parts.length / max(of_parts.n, 1), 1e-9), words[order], rows["n"].to_numpy()[order])
+        yield Index(_collected(items.where(mine)), p, of_all)
+
+
+def _collected(items: DataFrame) -> list[tuple[int | None, str]]:
+    return sorted(((r.item_id, r.text) for r in items.collect()), key=lambda x: (x[0] is None, x))
+
+
+def _part_words(items: DataFrame, p: Params) -> DataFrame:
+    """(slice, word, length): a row for each distinct word of each part, and one with the
+    part's length and no word. `slice` is the item's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for words, n in part_bags(words_of(list(split_item(text))).hash, p):
+                    word = pa.concat_arrays([pa.array(words.view(np.int64)), pa.nulls(1, pa.int64())])
+                    length = pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array([int(n.sum())])])
+                    yield pa.RecordBatch.from_arrays([pa.array([own] * len(word), pa.int64()), word, length], names=["slice", "word", "length"])
+
+    keyed = items.select(F.xxhash64("item_id", "text").alias("slice"), "text")
+    return keyed.mapInArrow(run, "slice long, word long, length long")
 
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, word_start long"

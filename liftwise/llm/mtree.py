@@ -18,9 +18,10 @@ queries; queries skip cells that the k-th best score in a bounded sample of the
 out. Per query the blocks' results (k rows each) are ranked. No vector is left out anywhere.
 
 Defined results: null vectors, and those with a null or non-finite component, take no part;
-nor do rows with a null id; queries meet vectors of their own dimension only; scaled
-components are held to +-2**24, so that a score fits 64 bits; repeated ids are candidates
-each, but never of a query of that id; ties go to the smaller id; empty tables give no rows.
+nor do rows with a null id; queries meet vectors of their own dimension only; components
+and scores are exact 64-bit integers, and beyond that range the nearest one; repeated ids
+are candidates each, but never of a query of that id; ties go to the smaller id; empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +38,18 @@ from pyspark.sql.window import Window
 
 from liftwise.llm.common import hold, stream_groups
 
-LIMIT = 1 << 24
+LIMIT = (1 << 63) - 1
+SAFE = 2.0**62
+
+
+def inner(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Integer inner products of the rows of x and of y, exact; beyond 64 bits the nearest
+    64-bit number. int64 sums wrap, so they are right wherever the result is in range."""
+    s = x @ y.T
+    for i, j in np.argwhere(np.abs(x.astype(np.float64) @ y.T.astype(np.float64)) >= SAFE):
+        exact = sum(a * b for a, b in zip(x[i].tolist(), y[j].tolist(), strict=True))
+        s[i, j] = min(max(exact, -LIMIT), LIMIT)
+    return s
 
 
 @dataclass(frozen=True)
@@ -66,6 +78,7 @@ class MTree:
     def __init__(self, x: np.ndarray, ids: np.ndarray, top: float, p: Params):
         self.p, self.x, self.ids = p, x, ids
         self.f = x.astype(np.float64)
+        self.large = top >= SAFE  # of any two vectors the inner product is at most top
         self.extra = np.sqrt(np.maximum(top - (self.f**2).sum(axis=1), 0))
         self.top = top
         self.root_object = 0
@@ -136,7 +149,7 @@ class MTree:
             e = node.entry[use]
             self.computed += len(e)
             if node.child is None:
-                score = self.x[e] @ q
+                score = inner(self.x[e], q[None])[:, 0] if self.large else self.x[e] @ q
                 least = best[0][0] if len(best) == k else None
                 pick = np.arange(len(e)) if least is None else np.flatnonzero(score >= least)
                 for s, i in zip(score[pick].tolist(), self.ids[e[pick]].tolist(), strict=True):
@@ -189,15 +202,23 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str, p: Params) -> Data
                 if x.null_count or not np.isfinite(v).all():
                     continue
                 ids.append(i)
-                out.append(np.clip(np.floor(p.scale * v), -LIMIT, LIMIT).astype("<i8"))
+                out.append(_integers(p.scale * v))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(map(len, out), pa.int32()), pa.array([v.tobytes() for v in out], pa.binary()), pa.array([float(v.astype(float) @ v) for v in out], pa.float64())],
+                [pa.array(ids, pa.int64()), pa.array(map(len, out), pa.int32()), pa.array([v.tobytes() for v in out], pa.binary()), pa.array([float(v.astype(float) @ v.astype(float)) for v in out], pa.float64())],
                 names=["vec_id", "dim", "v", "norm"],
             )
 
     return src.mapInArrow(run, "vec_id long, dim int, v binary, norm double")
 
 
+def _integers(v: np.ndarray) -> np.ndarray:
+    """floor(v) as int64, held to its range."""
+    v = np.floor(v)
+    far = np.abs(v) >= 2.0**63
+    out = np.where(far, 0, v).astype("<i8")
+    return np.where(far, np.where(v > 0, LIMIT, -LIMIT), out).astype("<i8")
+
+
 def _matrix(col, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), "<i8").reshape(-1, dim)
 
@@ -253,7 +274,7 @@ def _top_k(vectors: DataFrame, queries: DataFrame, dim: int, top: float, p: Para
             q, ids = _matrix(b.column(1), dim), b.column(0).to_numpy()
             rows = []
             for a in range(0, len(q), 256):
-                scores = q[a : a + 256] @ sample.T
+                scores = inner(q[a : a + 256], sample) if top >= SAFE else q[a : a + 256] @ sample.T
                 scores[ids[a : a + 256, None] == sample_ids[None]] = np.iinfo(np.int64).min
                 known = scores.shape[1] > p.k
                 kth = np.partition(scores, -p.k, axis=1)[:, -p.k] if known else np.full(len(scores), np.iinfo(np.int64).min)

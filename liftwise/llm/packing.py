@@ -31,6 +31,8 @@ from liftwise.llm.words import chunks
 
 POOL_TOKENS = 1 << 19
 OPEN_SEQUENCES = 64
+FLUSH_BYTES = 4 << 20  # of output rows in a batch
+ROW_BYTES = 500  # of an output row besides its ids, about
 
 
 @dataclass(frozen=True)
@@ -226,6 +228,7 @@ def pack(
             + [("ids", pa.binary())]
         )
         rows: list[tuple] = []
+        held = 0
 
         def out() -> pa.RecordBatch:
             cols = zip(*rows, strict=True)
@@ -237,11 +240,14 @@ def pack(
                 raw = p.example.ids[4 * p.start : 4 * (p.start + p.length)]
                 rows.append((p.example.doc_id, p.start, p.length, zlib.crc32(raw), p.example.n, number, at, p.loss(), raw if with_ids else None))
                 at += p.length
+                held += len(raw) + ROW_BYTES
             number += 1
-            if len(rows) >= 4096:
+            if held >= FLUSH_BYTES:
                 yield out()
                 rows.clear()
+                held = 0
         if rows:
             yield out()
+        encoder(path).release()
 
     return df.select(*cols).mapInArrow(run, SCHEMA)

@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwise.llm.packing import Example, Piece, examples_of
-from liftwise.llm.tokens import default_path
+from liftwise.llm.tokens import default_path, encoder
 
 POOL_TOKENS = 1 << 19
 NEARLY_FULL = 0.995
+FLUSH_TOKENS = 1 << 20  # of output rows in a batch
 
 
 class CapacityTree:
@@ -138,11 +139,12 @@ def pack_matrix(
             resets = cu if cu[-1] < row_tokens else cu[:-1]
             rows.append((number, raw + pad * (row_tokens - cu[-1]), cu, resets, [p.example.doc_id for p in row], [p.start for p in row]))
             number += 1
-            if len(rows) >= 512:
+            if len(rows) * row_tokens >= FLUSH_TOKENS:
                 yield out()
                 rows.clear()
         if rows:
             yield out()
+        encoder(path).release()
 
     cols = [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")]
     return df.select(*cols).mapInArrow(run, SCHEMA)

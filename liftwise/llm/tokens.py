@@ -18,7 +18,8 @@ import unicodedata
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_ENTRIES = 1_000_000
+CACHE_BYTES = 48 << 20  # of each cache; emptied when full, and at the end of a task
+ENTRY_BYTES = 200  # of an entry besides its text and ids, about
 
 
 def default_path(name: str = TOKENIZER) -> str:
@@ -35,7 +36,24 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
-class _Pieces(dict):
+class _Cache(dict):
+    """Text -> ids, bounded by bytes."""
+
+    held = 0
+
+    def keep(self, text: str, raw: bytes) -> bytes:
+        if self.held >= CACHE_BYTES:
+            self.release()
+        self.held += len(raw) + 2 * len(text) + ENTRY_BYTES
+        self[text] = raw
+        return raw
+
+    def release(self) -> None:
+        self.clear()
+        self.held = 0
+
+
+class _Pieces(_Cache):
     """White-space separated piece -> ids."""
 
     def __init__(self, words: _Words):
@@ -47,13 +65,10 @@ class _Pieces(dict):
             raw = w[piece.lower()]
         else:
             raw = b"".join([w[x] for x in w.split(unicodedata.normalize("NFC", piece).lower())])
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[piece] = raw
-        return raw
+        return self.keep(piece, raw)
 
 
-class _Words(dict):
+class _Words(_Cache):
     """Lower-case word -> ids."""
 
     #: The tokenizer's split: contractions, letters, one digit, other signs.
@@ -64,11 +79,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         mapped = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.letters)
-        raw = np.array([t.id for t in self.tokenize(mapped)], np.uint32).tobytes()
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[word] = raw
-        return raw
+        return self.keep(word, np.array([t.id for t in self.tokenize(mapped)], np.uint32).tobytes())
 
 
 class _OddCharacters(dict):
@@ -105,6 +116,11 @@ class PieceEncoder:
         known = self.pieces
         return [b"".join([known[p] for p in t.split()]) if self._plain(t) else self.whole(t) for t in texts]
 
+    def release(self) -> None:
+        """Empties the caches: a reused worker keeps the vocabulary only."""
+        self.pieces.release()
+        self.pieces.words.release()
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:

@@ -285,10 +285,9 @@ def test_every_token_is_its_own_encoding_and_bytes_decode():
 
 
 def test_trie_shares_prefixes():
-    t = bpe.Trie()
-    for k, w in enumerate((b"team", b"tea", b"ten", b"to", b"a")):
-        t.insert(w, k)
-    assert sum(map(len, t.label)) == len("team" "n" "o" "a") and sorted(k for k in t.word if k >= 0) == [0, 1, 2, 3, 4]
+    t = bpe.Trie([b"team", b"tea", b"ten", b"to", b"a", b"", b"\xff\x00", b"\xff\x00\x00"])
+    assert t.words == [b"", b"a", b"tea", b"team", b"ten", b"to", b"\xff\x00", b"\xff\x00\x00"] and t.order[2:4] == [1, 0]
+    assert t.depth == [0, 0, 0, 3, 2, 1, 0, 2]
 
 
 def test_bpe_query_equals_the_library(spark):
