@@ -50,6 +50,11 @@ MAX_BROADCAST_INTERVENTION_ROWS = 200_000
 # (intervention x week) rows: ~60 bytes each, so 2M rows is ~120 MB.
 MAX_BROADCAST_WINDOW_WEEK_ROWS = 2_000_000
 
+# Catalog tables: gold rows in a bucket of merchants, over all months, and chunks of the
+# merchants among which SQL spreads a comparison with all of them.
+BUCKET_ROWS = 200_000_000
+SQL_CHUNKS = 64
+
 # Matching kernel blocking: treated vectors per block, control vectors per chunk, and
 # the byte budget under which all treated vectors are broadcast instead of shuffled.
 TREATED_BLOCK_ROWS = 2048

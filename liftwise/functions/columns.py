@@ -43,30 +43,50 @@ def merchant_code(int_key: Column) -> Column:
     return F.concat(F.lit("M"), F.when(F.length(digits) >= 5, digits).otherwise(F.lpad(digits, 5, "0")))
 
 
+REST = 1_000_000_000  # parts of a cent that are kept beyond it
+
+
+def finite(amount: Column) -> Column:
+    """NaN and infinities are no amounts: NULL, like a missing one."""
+    return F.when(F.abs(amount) < F.lit(float("inf")), amount)
+
+
 def cents(amount: Column) -> Column:
     """Money rounded to integer cents; `sub_cents` is what the rounding leaves."""
-    return F.round(amount * 100).cast("long")
+    return F.round(finite(amount) * 100).cast("long")
 
 
 def sub_cents(amount: Column) -> Column:
-    """The rest of an amount beyond its cents, in millionths (0 for cent amounts)."""
-    return F.round((amount * 100 - F.round(amount * 100)) * 10_000).cast("long")
+    """The rest of an amount beyond its cents, in billionths of a cent (0 for cent amounts)."""
+    whole = F.round(amount * 100)
+    return F.when(whole / 100.0 == amount, F.lit(0).cast("long")).otherwise(
+        F.round((finite(amount) * 100 - whole) * REST).cast("long")
+    )
 
 
 def cents_sum(amount: Column) -> Column:
     """SUM of money in cents as a double: integer cents and integer rests summed apart, so the
-    sum is independent of partitioning and order and no row is rounded away."""
-    return F.sum(cents(amount)) + F.sum(sub_cents(amount)) / F.lit(10_000.0)
+    sum is independent of partitioning and order and no row is rounded to a cent."""
+    return F.sum(cents(amount)) + F.sum(sub_cents(amount)) / F.lit(float(REST))
+
+
+#: `cents_sum` of the column `amount` as SQL.
+CENTS_SUM_SQL = (
+    "(sum(bigint(round(if(abs(amount) < double('infinity'), amount, NULL) * 100))) + "
+    "sum(if(round(amount * 100) / 100.0D = amount, 0L, "
+    "bigint(round((if(abs(amount) < double('infinity'), amount, NULL) * 100 - round(amount * 100)) * "
+    f"{REST})))) / {REST}D)"
+)
 
 
 def money_sum(amount: Column) -> Column:
-    """Exact SUM of money (to the millionth), one division at the end."""
+    """Exact SUM of money (to a billionth of a cent), one division at the end."""
     return cents_sum(amount) / F.lit(100.0)
 
 
 def money_avg(amount: Column) -> Column:
-    """Exact AVG of money over non-NULL values: one correctly rounded division."""
-    return cents_sum(amount) / (F.count(amount) * F.lit(100.0))
+    """Exact AVG of money over the finite values: one correctly rounded division."""
+    return cents_sum(amount) / (F.count(finite(amount)) * F.lit(100.0))
 
 
 def scan_date_range(df: DataFrame, first: dt.date | None, last: dt.date | None, column: str = "txn_date") -> DataFrame:

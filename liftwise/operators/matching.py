@@ -9,9 +9,9 @@ Semantics (per intervention):
     this intervention, ties broken by control id; score = round(1 / (1 + r), 4).
 
 Plan:
-  1. weekly sums per distinct match window (interventions sharing a start share the
-     scan), collected into a fixed-width vector per (window, merchant): slot i = week i
-     of the window. Partial sums are combined map-side; the collect is bounded by 53.
+  1. weekly sums of the panel (one scan for all windows, see `weekly`; or the weekly
+     table itself), read per distinct match window and collected into a fixed-width
+     vector per (window, merchant): slot i = week i of the window; bounded by 53.
   2. normalisation is array arithmetic on that row (no join back to the means).
   3. treated vectors are cut into blocks per intervention and the window's merchants
      into chunks by a hash of the merchant id, once per window (interventions sharing
@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from liftwise import config
-from liftwise.functions.columns import cents_sum, safe_div, similarity, week_bucket
+from liftwise.functions.columns import safe_div, similarity
 from liftwise.functions.joins import broadcast_if_small
-from liftwise.operators.windows import rows_in_windows
+from liftwise.operators.weekly import weeks_in_windows
 from liftwise.session import cut_lineage, default_parallelism
 
 
@@ -48,27 +48,24 @@ def n_slots(match_window_days: int = config.MATCH_WINDOW_DAYS) -> int:
 
 def weekly_cents(panel: DataFrame, windows: DataFrame, bounds=None) -> DataFrame:
     """(pre_start, merchant_id, slot, base_week, cents): exact weekly revenue per distinct
-    match window (keyed by its first day), one row per week a merchant has rows in.
-    Partial sums are combined map-side before the shuffle."""
+    match window (keyed by its first day), one row per week a merchant has amounts in.
+    `panel` is daily, or weekly already."""
     shared = windows.select("pre_start", "pre_end")
     if bounds is not None and bounds.n_interventions <= config.MAX_BROADCAST_INTERVENTION_ROWS:
         # Metadata under a proven row bound: de-duplicate in one partition, no shuffle.
         shared = shared.coalesce(1)
     shared = shared.distinct()
-    rows = rows_in_windows(panel, shared, "pre_start", "pre_end", bounds=bounds, key="pre_start")
-    base = week_bucket(F.col("lo"))
-    slot = (F.datediff(F.col("week_start"), base) / 7).cast("int")
-    return rows.groupBy("pre_start", "merchant_id", slot.alias("slot"), base.alias("base_week")).agg(
-        F.round(cents_sum(F.col("amount"))).cast("long").alias("cents")
-    )
+    rows = weeks_in_windows(panel, shared, "pre_start", "pre_end", bounds=bounds, key="pre_start")
+    slot = (F.datediff(F.col("week_start"), F.col("base_week")) / 7).cast("int")
+    return rows.select("pre_start", "merchant_id", slot.alias("slot"), "base_week", "cents")
 
 
 def window_vectors(
     panel: DataFrame, windows: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS, bounds=None
 ) -> DataFrame:
     """(pre_start, merchant_id, base_week, weekly_cents): weekly revenue over each distinct
-    match window as array<bigint> of exact cents aligned to the week slots, NULL where
-    the merchant has no row that week. A vector depends on the window only, not on the
+    match window as array<double> of exact cents aligned to the week slots, NULL where
+    the merchant has no amount that week. A vector depends on the window only, not on the
     cohort, so interventions that share a window share one scan and one aggregation.
     Each group holds at most `n_slots` weeks."""
     if bounds is None:
@@ -114,7 +111,7 @@ def normalize_vectors(vectors: DataFrame) -> DataFrame:
     """Adds `weekly` (revenue as double), mean_revenue (exact, over weeks present) and
     `vec` = weekly / NULLIF(mean, 0)."""
     present = F.filter("weekly_cents", lambda x: x.isNotNull())
-    total = F.aggregate(present, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    total = F.aggregate(present, F.lit(0.0), lambda acc, x: acc + x)
     return (
         vectors.withColumn("mean_revenue", safe_div(total, F.size(present) * F.lit(100.0)))
         .withColumn("weekly", F.transform("weekly_cents", lambda x: x / F.lit(100.0)))
@@ -293,13 +290,23 @@ def candidate_pairs(
         F.count(F.lit(1)).alias("n_iv"),
         F.countDistinct("_pool").alias("n_pools"),
         F.sum("n_t").alias("n_t"),
+        F.sum(F.ceil(F.col("n_t") / treated_block_rows)).alias("n_tb"),
+        F.sum(F.ceil(F.col("n_c") / control_chunk_rows)).alias("n_cb"),  # at least the chunks of all pools
         F.max("width").alias("width"),
     ).first()
     n_iv = summary["n_iv"] or 0
     if n_iv == 0:
         return spark.createDataFrame([], CANDIDATE_SCHEMA)
     small = n_iv <= config.MAX_BROADCAST_INTERVENTION_ROWS  # pools <= interventions
-    tasks_per_pool = max(1, -(-2 * default_parallelism(spark) // int(summary["n_pools"])))
+    n_pools, n_tb = int(summary["n_pools"]), int(summary["n_tb"])
+    tasks_per_pool = max(1, -(-2 * default_parallelism(spark) // n_pools))
+    # A task's Arrow batch holds at most so many block pairs. A chunk meets its treated blocks
+    # in groups of that size: it is dealt out once per group, before the pairs are formed.
+    row_bytes = (treated_block_rows + control_chunk_rows) * (int(summary["width"] or 1) * 8 + 64)
+    most = max(1, KERNEL_BATCH_BYTES // row_bytes)
+    n_groups = max(1, -(-n_tb // most))
+    n_rows = (int(summary["n_cb"]) + n_pools * tasks_per_pool) * n_groups
+    n_tasks = max(min(n_rows, 2 * default_parallelism(spark)), -(-n_rows * min(n_tb, most) // most))
     iv_stats = stats.select(
         "intervention_id", "_pool", F.ceil(F.col("n_t") / treated_block_rows).cast("int").alias("n_tb")
     )
@@ -315,17 +322,18 @@ def candidate_pairs(
         tv.join(iv_stats, ["intervention_id", "_pool"]).withColumn("tb", _hash_block("n_tb")),
         ["intervention_id", "_pool", "tb"],
         "t",
-    )
+    ).withColumn("_group", F.pmod(F.xxhash64("intervention_id", "tb"), F.lit(n_groups)).cast("int"))
     c_blocks = _blocks(pv.join(pool_stats, "_pool").withColumn("cb", _hash_block("n_cb")), ["_pool", "cb"], "c")
+    c_blocks = c_blocks.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)))).repartition(n_tasks)
 
     treated_bytes = int(summary["n_t"]) * (int(summary["width"] or 0) * 8 + 64)
     if treated_bytes <= broadcast_bytes:
-        pairs = c_blocks.join(F.broadcast(t_blocks), "_pool")
+        pairs = c_blocks.join(F.broadcast(t_blocks), ["_pool", "_group"])
     else:
         replicated = t_blocks.join(pool_stats, "_pool").withColumn(
             "cb", F.explode(F.sequence(F.lit(0), F.col("n_cb") - 1))
         )
-        pairs = c_blocks.join(replicated.drop("n_cb"), ["_pool", "cb"])
+        pairs = c_blocks.join(replicated.drop("n_cb"), ["_pool", "_group", "cb"])
     if exclusions is None:
         pairs = pairs.withColumn("ex_ids", F.array().cast("array<string>"))
     else:
@@ -345,13 +353,7 @@ def candidate_pairs(
             "ex_ids", F.coalesce("ex_ids", F.array().cast("array<string>"))
         )
     pairs = pairs.select("intervention_id", "t_ids", "t_vecs", "c_ids", "c_vecs", "ex_ids")
-    # The work of a task is its pairs, not its bytes: deal the pairs out by number, at most so
-    # many to a task that one Arrow batch of them stays bounded.
-    n_pairs = int(iv_stats.join(pool_stats, "_pool").agg(F.sum(F.col("n_tb").cast("long") * F.col("n_cb"))).first()[0] or 1)
-    row_bytes = (treated_block_rows + control_chunk_rows) * (int(summary["width"] or 1) * 8 + 64)
-    most = max(1, KERNEL_BATCH_BYTES // row_bytes)
-    n_tasks = max(min(n_pairs, 2 * default_parallelism(spark)), -(-n_pairs // most))
-    return pairs.repartition(n_tasks).mapInPandas(_kernel(k), CANDIDATE_SCHEMA)
+    return pairs.mapInPandas(_kernel(k), CANDIDATE_SCHEMA)
 
 
 KERNEL_BATCH_BYTES = 64 * 1024 * 1024

@@ -1,26 +1,29 @@
-"""Parameterised metrics over the gold fact (query_metric) and free-form roll-ups."""
+"""Parameterised metrics over the gold fact (query_metric) and the monthly roll-up."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions.columns import cents_sum, money_sum, safe_div, scan_date_range
+from liftwise.functions.columns import CENTS_SUM_SQL, money_sum, scan_date_range
+
+
+#: The metrics as SQL over gold rows, for the DataFrame and the SQL interface alike.
+METRIC_SQL = {
+    "revenue": f"round({CENTS_SUM_SQL} / 100.0D, 2)",
+    "transaction_count": "sum(txn_count)",
+    "avg_basket": f"round({CENTS_SUM_SQL} / nullif(sum(txn_count) * 100.0D, 0), 2)",
+    "active_merchants": "count(DISTINCT merchant_id)",
+}
 
 
 def _metric_expr(metric: str) -> Column:
-    if metric == "revenue":
-        return F.round(money_sum(F.col("amount")), 2)
-    if metric == "transaction_count":
-        return F.sum("txn_count")
-    if metric == "avg_basket":
-        return F.round(safe_div(cents_sum(F.col("amount")), F.sum("txn_count") * F.lit(100.0)), 2)
-    if metric == "active_merchants":
-        return F.count_distinct("merchant_id")
-    raise ValueError(f"unknown metric {metric!r}; expected one of {config.METRICS}")
+    if metric not in METRIC_SQL:
+        raise ValueError(f"unknown metric {metric!r}; expected one of {config.METRICS}")
+    return F.expr(METRIC_SQL[metric])
 
 
 def _as_date(value: str | dt.date) -> dt.date:
@@ -71,56 +74,3 @@ def monthly_trend(gold: DataFrame, group_by: str | None = None) -> DataFrame:
         F.sum("txn_count").cast("long").alias("transaction_count"),
         F.count_distinct("merchant_id").cast("long").alias("active_merchants"),
     )
-
-
-class AdhocRejected(ValueError):
-    pass
-
-
-def adhoc_sql(spark: SparkSession, sql: str, allowed_views: dict[str, DataFrame]) -> DataFrame:
-    """Run a read-only SELECT over an allow-list of views.
-
-    The statement is parsed first: it must be one query, and every relation it names (in
-    subqueries and CTEs too) must be an allowed view or a CTE defined before it. Nothing is
-    resolved or listed to find out. Only the views' columns can be read.
-    """
-    text = sql.strip()
-    head = text.lstrip("( \n\t").split(None, 1)[0].upper() if text else ""
-    if head not in ("SELECT", "WITH"):
-        raise AdhocRejected("only a single SELECT statement is allowed")
-    try:
-        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
-    except Exception as e:
-        raise AdhocRejected(f"not a single SELECT statement: {str(e).splitlines()[0]}") from e
-    names = frozenset(n.lower() for n in allowed_views)
-    extra = _foreign_relations(plan, names)
-    if extra:
-        raise AdhocRejected(f"query reads relations outside the allow-list: {sorted(extra)[:3]}")
-    for name, df in allowed_views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text)
-
-
-#: Parsed nodes that read or do something other than naming a relation.
-_REFUSED_NODES = ("Command", "Insert", "Merge", "Delete", "Update", "TableValuedFunction", "UnresolvedTVF", "Script", "Write", "Create", "Drop")
-
-
-def _foreign_relations(plan, allowed: frozenset[str]) -> set[str]:
-    """Names of relations (and kinds of nodes) in a parsed plan that are not allowed."""
-    kind = plan.getClass().getSimpleName()
-    if any(x in kind for x in _REFUSED_NODES):
-        return {kind}
-    if kind == "UnresolvedRelation":
-        name = plan.multipartIdentifier().mkString(".").lower()
-        return set() if name in allowed else {name}
-    found: set[str] = set()
-    if kind == "UnresolvedWith":
-        ctes = plan.cteRelations()
-        for i in range(ctes.size()):  # a CTE may read those before it
-            cte = ctes.apply(i)
-            found |= _foreign_relations(cte._2(), allowed)
-            allowed = allowed | {cte._1().lower()}
-    for below in (plan.children(), plan.subqueries()):
-        for i in range(below.size()):
-            found |= _foreign_relations(below.apply(i), allowed)
-    return found

@@ -111,7 +111,7 @@ def inject_lift(panel: DataFrame, interventions: DataFrame, effect_col: str = "t
     joined = panel.join(schedule, "merchant_id", "left").withColumn(
         "_m", F.when(F.col("schedule").isNotNull(), multiplier)
     )
-    new_amount = F.round(F.col("amount").cast("decimal(18,2)") * F.col("_m").cast("decimal(12,8)"), 2).cast("double")
+    new_amount = F.round(F.col("amount").cast("decimal(27,11)") * F.col("_m").cast("decimal(10,8)"), 2).cast("double")
     new_count = F.greatest(F.lit(1), F.round(F.col("txn_count") * F.col("_m")).cast("int"))
     treated_post = F.col("schedule").isNotNull() & hit
     out = joined.withColumn("amount", F.when(treated_post, new_amount).otherwise(F.col("amount"))).withColumn(

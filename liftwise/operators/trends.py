@@ -2,7 +2,7 @@
 [start - 364, start + post], lift against the mean pre-period ratio.
 
 Only cohort members (treated + matched controls) are read for the trend window: the
-members table carries each member's window and joins the daily panel on merchant_id,
+members table carries each member's window and joins the weekly panel on merchant_id,
 so the range join becomes an equi-join plus a date filter.
 """
 
@@ -15,15 +15,12 @@ from liftwise import config
 from liftwise.functions.columns import (
     cents,
     money_avg,
-    money_sum,
     period_label,
     relative_week,
     safe_div,
-    scan_date_range,
-    week_bucket,
 )
 from liftwise.functions.joins import broadcast_if_small
-from liftwise.operators.windows import window_summary
+from liftwise.operators.weekly import as_weekly, revenue_cents
 
 
 def cohort_members(treated: DataFrame, matches: DataFrame) -> DataFrame:
@@ -44,26 +41,22 @@ def weekly_revenue_members(
     panel: DataFrame, windows: DataFrame, members: DataFrame, bounds=None, max_members: int | None = None
 ) -> DataFrame:
     """(intervention_id, merchant_id, week_start, weekly_revenue) over the trend window,
-    for cohort members only. `max_members` is a proven bound on the member rows (treated
-    x (1 + k)); without it the member table is counted before any broadcast."""
-    if bounds is not None:
-        first, last = bounds.trend_first, bounds.trend_last
-    else:
-        first, last, _ = window_summary(windows, "pre_start", "post_end")
+    for cohort members only, of a daily or a weekly panel. `max_members` is a proven bound on
+    the member rows (treated x (1 + k)); without it the member table is counted before any
+    broadcast."""
     spans = windows.select("intervention_id", F.col("pre_start").alias("lo"), F.col("post_end").alias("hi"))
     member_spans = members.join(spans, "intervention_id")
     if max_members is None:
         member_spans = broadcast_if_small(member_spans, config.MAX_BROADCAST_DIMENSION_ROWS)
     elif max_members <= config.MAX_BROADCAST_DIMENSION_ROWS:
         member_spans = F.broadcast(member_spans)
-    rows = (
-        scan_date_range(panel, first, last)
-        .select("merchant_id", "txn_date", "amount")
-        .join(member_spans, "merchant_id")
-        .where(F.col("txn_date").between(F.col("lo"), F.col("hi")))
-    )
-    return rows.groupBy("intervention_id", "merchant_id", week_bucket(F.col("txn_date")).alias("week_start")).agg(
-        money_sum(F.col("amount")).alias("weekly_revenue")
+    rows = as_weekly(panel, windows, "pre_start", "post_end", bounds).join(member_spans, "merchant_id")
+    near = F.col("week_start").between(F.date_sub("lo", 6), F.col("hi"))
+    weekly_revenue = revenue_cents(F.col("lo"), F.col("hi")) / F.lit(100.0)
+    return (
+        rows.where(near)
+        .select("intervention_id", "merchant_id", "week_start", weekly_revenue.alias("weekly_revenue"))
+        .where("weekly_revenue IS NOT NULL")
     )
 
 

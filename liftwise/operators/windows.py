@@ -1,13 +1,8 @@
-"""Intervention windows, cohorts, and the panel rows that fall inside each window.
+"""Intervention windows and cohorts, and the bounds of a run over them.
 
 Windows per intervention (dates inclusive):
     match window  [start - 364, start - 1]
     trend window  [start - 364, start + post_window_days]
-
-Attaching panel rows to windows is a range join. It is written as an equi-join on
-the Monday week bucket against a small (intervention x week) table, followed by the
-exact date filter, so it plans as a hash join instead of a nested loop; the overall
-min/max of the bounds is also applied as a literal filter so it reaches the scan.
 """
 
 from __future__ import annotations
@@ -19,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions.columns import money_sum, scan_date_range, week_bucket
+from liftwise.functions.columns import week_bucket
 
 
 def intervention_windows(interventions: DataFrame, match_window_days: int = config.MATCH_WINDOW_DAYS) -> DataFrame:
@@ -56,6 +51,7 @@ class RunBounds:
     match_week_rows: int
     trend_week_rows: int
     match_span_days: int = 0
+    cuts: tuple[int, ...] = tuple(range(1, 7))  # days after a Monday at which a window begins or ends
 
     def window(self, hi: str):
         if hi == "pre_end":
@@ -64,6 +60,7 @@ class RunBounds:
 
 
 def run_bounds(windows: DataFrame, treated: DataFrame) -> RunBounds:
+    edges = [F.datediff(day, week_bucket(day)) for day in (F.col("pre_start"), F.date_add("pre_end", 1), F.date_add("post_end", 1))]
     per_iv = treated.groupBy("intervention_id").agg(F.count(F.lit(1)).alias("n_t"))
     row = (
         windows.join(per_iv, "intervention_id", "left")
@@ -76,6 +73,7 @@ def run_bounds(windows: DataFrame, treated: DataFrame) -> RunBounds:
             F.max("post_end").alias("thi"),
             F.max(F.datediff("pre_end", "pre_start")).alias("mspan"),
             F.max(F.datediff("post_end", "pre_start")).alias("tspan"),
+            F.collect_set(F.array(*edges)).alias("edges"),  # of weekdays: 343 values at most
         )
         .first()
     )
@@ -92,6 +90,7 @@ def run_bounds(windows: DataFrame, treated: DataFrame) -> RunBounds:
         match_week_rows=n * (int(row["mspan"] or 0) // 7 + 2),
         trend_week_rows=n * (int(row["tspan"] or 0) // 7 + 2),
         match_span_days=int(row["mspan"] or 0) + 1,
+        cuts=tuple(sorted({day for e in row["edges"] for day in e if day})),
     )
 
 
@@ -106,49 +105,3 @@ def window_summary(windows: DataFrame, lo: str, hi: str):
     ).first()
     week_rows = int(row["n"] or 0) * ((int(row["span"] or 0)) // 7 + 2)
     return row["lo"], row["hi"], week_rows
-
-
-def rows_in_windows(
-    panel: DataFrame,
-    windows: DataFrame,
-    lo: str,
-    hi: str,
-    salt_buckets: int = 32,
-    bounds: RunBounds | None = None,
-    key: str = "intervention_id",
-) -> DataFrame:
-    """Panel rows (any columns, incl. `txn_date`) paired with every window that contains
-    them; adds the window `key` column, week_start and the window bounds `lo`/`hi`.
-
-    The (intervention x week) table is broadcast when its proven row bound allows.
-    Beyond that it is joined by shuffle on (week_start, salt): a week key alone has only
-    a few hundred values, so each panel row gets a salt from its merchant id and the
-    week table is replicated once per salt value, spreading every week over
-    `salt_buckets` tasks.
-    """
-    first, last, week_rows = bounds.window(hi) if bounds is not None else window_summary(windows, lo, hi)
-    weeks = windows.select(
-        key,
-        F.col(lo).alias("lo"),
-        F.col(hi).alias("hi"),
-        F.explode(
-            F.sequence(week_bucket(F.col(lo)), week_bucket(F.col(hi)), F.expr("INTERVAL 7 DAYS"))
-        ).alias("week_start"),
-    )
-    scoped = scan_date_range(panel, first, last).withColumn("week_start", week_bucket(F.col("txn_date")))
-    in_window = F.col("txn_date").between(F.col("lo"), F.col("hi"))
-    if week_rows <= config.MAX_BROADCAST_WINDOW_WEEK_ROWS:  # proven bound, no extra count
-        return scoped.join(F.broadcast(weeks), "week_start").where(in_window)
-    salted = scoped.withColumn("_salt", F.pmod(F.xxhash64("merchant_id"), F.lit(salt_buckets)).cast("int"))
-    weeks = weeks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted.join(weeks, ["week_start", "_salt"]).where(in_window).drop("_salt")
-
-
-def weekly_revenue(panel: DataFrame, windows: DataFrame, window: str = "match") -> DataFrame:
-    """(intervention_id, merchant_id, week_start, weekly_revenue) over the match window
-    (`window="match"`) or the whole trend window (`window="full"`)."""
-    hi = "pre_end" if window == "match" else "post_end"
-    rows = rows_in_windows(panel, windows, "pre_start", hi).select("intervention_id", "merchant_id", "week_start", "amount")
-    return rows.groupBy("intervention_id", "merchant_id", "week_start").agg(
-        money_sum(F.col("amount")).alias("weekly_revenue")
-    )

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.functions import sql_functions
-from liftwise.operators import lift, matching, metrics, panel, quality, trends
-from liftwise.plans import causal
+from liftwise.operators import adhoc, lift, matching, metrics, panel, quality, trends, windows
+from liftwise.plans import causal, medallion, warehouse
 from liftwise.plans.context import context
 from liftwise.plans.lookup import lookup_intervention as _lookup
 from liftwise.session import scratch_path
-from liftwise.sources import tables
+from liftwise.sources import fixture, tables
+from liftwise.streaming.decisions import run_gate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -32,7 +32,9 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 def _run(spark: SparkSession, sf_dir: str, n_matches: int = 10, gold: DataFrame | None = None) -> causal.CausalRun:
     ctx = context(spark, sf_dir)
-    return causal.CausalRun(gold if gold is not None else ctx.gold, ctx.windows, ctx.treated, n_matches)
+    if gold is not None:
+        return causal.CausalRun(gold, ctx.windows, ctx.treated, n_matches)
+    return causal.CausalRun(ctx.gold, ctx.windows, ctx.treated, n_matches, weekly_table=ctx.layers.weekly)
 
 
 # ---------------------------------------------------------------- ingest
@@ -143,7 +145,7 @@ GROUP BY location_type
 @query
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = context(spark, sf_dir).gold
-    return metrics.adhoc_sql(spark, ADHOC_EXAMPLE, {"transactions_enriched": gold})
+    return adhoc.adhoc_sql(spark, ADHOC_EXAMPLE, {"transactions_enriched": gold})
 
 
 # ---------------------------------------------------------------- matching
@@ -151,7 +153,8 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def intervention_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context(spark, sf_dir).windows
+    """Windows of the promotions of all parts."""
+    return windows.intervention_windows(fixture.promotions(spark, sf_dir))
 
 
 @query
@@ -161,7 +164,7 @@ def treated_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vectors(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    return ctx, matching.normalize_vectors(matching.match_vectors(ctx.gold, ctx.windows))
+    return ctx, matching.normalize_vectors(matching.match_vectors(ctx.layers.weekly, ctx.windows))
 
 
 @query
@@ -276,19 +279,11 @@ def lift_week_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- report
 
 
-LOOKUP_TEXTS = (
-    (1, "mobile order"),
-    (2, "Loyalty App"),
-    (3, "pilot"),
-    (4, "price increase"),
-    (5, "o'rder 100%"),
-)
-
-
 @query
 def lookup_intervention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lookups = spark.createDataFrame(list(LOOKUP_TEXTS), "query_id int, query_text string")
-    return _lookup(context(spark, sf_dir).interventions, lookups)
+    """Promotions of all parts, looked up by the parts' names and by the first word of each
+    turn of the conversations."""
+    return _lookup(fixture.promotions(spark, sf_dir), fixture.lookup_texts(spark, sf_dir))
 
 
 @query
@@ -299,6 +294,18 @@ def causal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def causal_report_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report behind a gate whose decisions come as a stream, from the conversations."""
+    ctx = context(spark, sf_dir)
+    path = scratch_path(spark, "decisions")
+    tables.overwrite(fixture.decisions(spark, sf_dir).repartition(4), path)
+    gate = run_gate(spark, path)
+    return causal.causal_report(_run(spark, sf_dir), ctx.interventions, gate).withColumn(
+        "pre_period_lift", F.round("pre_period_lift", 8)
+    )
+
+
 def injected_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = context(spark, sf_dir)
     return panel.inject_lift(ctx.gold, ctx.sources.interventions)
@@ -363,31 +370,62 @@ def sample_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tvf_query_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql_functions.register(spark, context(spark, sf_dir))
-    return spark.sql(
-        "SELECT * FROM query_metric(metric => :metric, start_date => DATE'1999-01-01', "
-        "end_date => DATE'1999-12-31', group_by => :group_by, filter_location_type => NULL, "
-        "filter_region => NULL, filter_size_band => :size_band, filter_brand => NULL)",
-        args={"metric": "avg_basket", "group_by": "brand", "size_band": "mid"},
+    return context(spark, sf_dir).warehouse.call(
+        "query_metric(metric => :metric, start_date => DATE'1999-01-01', end_date => DATE'1999-12-31', "
+        "group_by => :group_by, filter_size_band => :size_band)",
+        metric="avg_basket",
+        group_by="brand",
+        size_band="mid",
     )
 
 
 @query
 def tvf_build_control_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql_functions.register_causal(spark, context(spark, sf_dir), max_matches=10)
-    return spark.sql("SELECT * FROM build_control_group('INT_001', 10)")
+    return context(spark, sf_dir).published.call("build_control_group('INT_001', 10)")
+
+
+@query
+def tvf_build_control_group_k50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More controls than are stored: compared in SQL."""
+    return context(spark, sf_dir).published.call("build_control_group('INT_001', 50)")
 
 
 @query
 def tvf_parallel_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql_functions.register_causal(spark, context(spark, sf_dir), max_matches=10)
-    return spark.sql("SELECT * FROM check_parallel_trends('INT_001', 10) ORDER BY week_number")
+    return context(spark, sf_dir).published.call("check_parallel_trends('INT_001', 10)")
 
 
 @query
 def tvf_estimate_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql_functions.register_causal(spark, context(spark, sf_dir), max_matches=10)
-    return spark.sql("SELECT * FROM estimate_lift('INT_001', 10, NULL, NULL, NULL)")
+    return context(spark, sf_dir).published.call("estimate_lift('INT_001', 10, NULL, NULL, NULL)")
+
+
+# ---------------------------------------------------------------- warehouse
+
+
+@query
+def warehouse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts observed by the refresh's writes, with what it expected and rejected."""
+    return context(spark, sf_dir).warehouse.table("quality")
+
+
+@query
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as text, of which some are none (amounts of round hundreds become words,
+    the 13th of a month a day that is none): rejected rows by reason, and the good ones."""
+    tx = context(spark, sf_dir).layers.transactions
+    text = tx.select(
+        "merchant_id",
+        F.when(F.dayofmonth("txn_date") == 13, F.date_format("txn_date", "yyyy-MM-99")).otherwise(F.date_format("txn_date", "yyyy-MM-dd")).alias("txn_date"),
+        F.when(F.col("amount") % 100 < 1, F.lit("n/a")).otherwise(F.col("amount").cast("string")).alias("amount"),
+        F.col("txn_count").cast("string").alias("txn_count"),
+    )
+    typed = warehouse.typed_or_rejected(text, medallion.TRANSACTION_SCHEMA, warehouse.KEYS["transactions"])
+    return typed.groupBy(F.coalesce("reason", F.lit("")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("record").alias("n_records"),
+        F.sum("txn_count").cast("long").alias("txn_count"),
+    )
 
 
 # ---------------------------------------------------------------- streaming

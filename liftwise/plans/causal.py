@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from liftwise import config
 from liftwise.functions.joins import broadcast_if_small
 from liftwise.operators import lift, matching, trends
+from liftwise.operators.weekly import as_weekly
 from liftwise.operators.windows import RunBounds, run_bounds
 from liftwise.session import cut_lineage
 
@@ -30,6 +31,7 @@ class CausalRun:
     n_matches: int | None = None
     match_window_days: int = config.MATCH_WINDOW_DAYS
     checkpoint: bool = True
+    weekly_table: DataFrame | None = None  # the panel's weekly sums, where they are stored
 
     def _keep(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.checkpoint else df
@@ -39,10 +41,17 @@ class CausalRun:
         """One small action: counts and date bounds behind every broadcast decision."""
         return run_bounds(self.windows, self.treated)
 
+    @cached_property
+    def weeks(self) -> DataFrame:
+        """Weekly sums of the panel over all windows: one scan, read by matching and trends."""
+        if self.weekly_table is not None:
+            return self.weekly_table
+        return self._keep(as_weekly(self.panel, self.windows, "pre_start", "post_end", self.bounds))
+
     @cached_property
     def matches(self) -> DataFrame:
         m = matching.match_controls(
-            self.panel,
+            self.weeks,
             self.windows,
             self.treated,
             self.n_matches,
@@ -66,7 +75,7 @@ class CausalRun:
         k = matching.resolve_n_matches(self.n_matches)
         return self._keep(
             trends.weekly_revenue_members(
-                self.panel, self.windows, self.members, self.bounds, max_members=self.bounds.n_treated * (1 + k)
+                self.weeks, self.windows, self.members, self.bounds, max_members=self.bounds.n_treated * (1 + k)
             )
         )
 
@@ -102,16 +111,23 @@ APPROVAL_WORDS = ("yes", "y", "approve", "approved", "proceed")
 DECISION_ORDER = ("decided_at", "turn")
 
 
-def approved(decisions: DataFrame) -> DataFrame:
-    """(intervention_id) whose latest free-text decision reads as approval. The latest is by
-    the first of the columns `decided_at`, `turn`; of decisions at the same time, and where
-    there is neither column, all must approve."""
+def decision_state(decisions: DataFrame, at: str | None) -> DataFrame:
+    """(intervention_id, approved): whether the latest free-text decision reads as approval. Of
+    decisions at the same time all must approve, and undated ones count as the latest. One
+    aggregation, on a batch or a stream."""
     ok = F.coalesce(F.lower(F.trim(F.col("decision"))).isin(*APPROVAL_WORDS), F.lit(False))
+    when = F.col(at) if at else F.lit(0)
+    last = F.max(F.struct(when.isNull().alias("undated"), when.alias("at"), (~ok).alias("refused")))
+    return decisions.groupBy("intervention_id").agg(last.alias("last")).select("intervention_id", (~F.col("last.refused")).alias("approved"))
+
+
+def approved(decisions: DataFrame) -> DataFrame:
+    """(intervention_id) whose latest decision reads as approval; the latest is by the first of
+    the columns `decided_at`, `turn`, and where there is neither, all must approve."""
+    if "approved" in decisions.columns:  # a gate's state already
+        return decisions.where("approved").select("intervention_id")
     at = next((c for c in DECISION_ORDER if c in decisions.columns), None)
-    rows = decisions.select("intervention_id", F.col(at).alias("at") if at else F.lit(0).alias("at"), ok.alias("ok"))
-    # smallest of (no before yes) among the latest: max_by on the time, refusals winning ties
-    last = rows.groupBy("intervention_id", "at").agg(F.min("ok").alias("ok"))
-    return last.groupBy("intervention_id").agg(F.max_by("ok", "at").alias("ok")).where("ok").select("intervention_id")
+    return decision_state(decisions, at).where("approved").select("intervention_id")
 
 
 def causal_report(run: CausalRun, interventions: DataFrame, decisions: DataFrame | None = None) -> DataFrame:

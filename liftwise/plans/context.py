@@ -1,49 +1,57 @@
 """Per-dataset context: the fixture tables and the layers derived from them.
 
-The medallion refresh runs once per (Spark application, dataset): silver and gold are
-written as parquet under the shared checkpoint folder (gold partitioned by
-year/month) and every query reads them back, as the reference's functions read the
-persisted gold table. Nothing else is cached between queries.
+The medallion refresh runs once per (Spark application, dataset): the catalog tables of a
+warehouse, in a schema of its own under the shared checkpoint folder, which every query
+reads. The tables and functions of the causal calls are published when first asked for.
 """
 
 from __future__ import annotations
 
 import os
 import threading
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftwise.operators.windows import intervention_windows, treated_merchants
+from liftwise.functions import sql_functions
+from liftwise.operators.windows import intervention_windows
 from liftwise.plans import medallion
+from liftwise.plans.warehouse import Warehouse
 from liftwise.session import app_key, scratch_path, ship_package
-from liftwise.sources import fixture, tables
+from liftwise.sources import fixture
 
 
 @dataclass
 class Context:
     spark: SparkSession
     sf_dir: str
-    persist: bool = True
 
     @cached_property
     def sources(self) -> fixture.Sources:
-        src = fixture.load(self.spark, self.sf_dir)
-        if not self.persist:
-            return src
-        # The interventions table is tiny but built from a scan + collect + join; write
-        # it once (bronze) so downstream plans read a file instead of re-deriving it.
-        path = scratch_path(self.spark, "bronze-interventions")
-        tables.overwrite(src.interventions.coalesce(1), path)
-        return fixture.Sources(src.merchants, src.transactions, self.spark.read.parquet(path))
+        return fixture.load(self.spark, self.sf_dir)
+
+    @cached_property
+    def warehouse(self) -> Warehouse:
+        name = f"liftwise_{uuid.uuid4().hex[:8]}"
+        out = Warehouse(self.spark, name, scratch_path(self.spark, name))
+        src = self.sources
+        out.refresh(src.merchants, src.transactions, src.interventions, src.cohorts)
+        sql_functions.create_metric_function(out)
+        return out
+
+    @cached_property
+    def published(self) -> Warehouse:
+        """The warehouse with the causal functions' tables."""
+        sql_functions.publish(self.warehouse)
+        return self.warehouse
 
     @cached_property
     def layers(self) -> medallion.Layers:
-        if not self.persist:
-            return medallion.build(self.sources.merchants, self.sources.transactions)
-        return medallion.refresh(
-            self.sources.merchants, self.sources.transactions, scratch_path(self.spark, "medallion")
+        t = self.warehouse.table
+        return medallion.Layers(
+            t("merchants"), medallion.with_calendar(t("transactions")), t("transactions_enriched"), t("transactions_weekly")
         )
 
     @property
@@ -53,7 +61,7 @@ class Context:
     @property
     def interventions(self) -> DataFrame:
         """The agent-facing view (no `true_effect`)."""
-        return tables.agent_view(self.sources.interventions)
+        return self.warehouse.table("interventions_agent_view")
 
     @property
     def windows(self) -> DataFrame:
@@ -61,7 +69,7 @@ class Context:
 
     @property
     def treated(self) -> DataFrame:
-        return treated_merchants(self.interventions)
+        return self.warehouse.table("cohorts")
 
 
 _CACHE: dict[tuple[str, str], Context] = {}

@@ -1,32 +1,65 @@
-"""Intervention lookup by free-text name, many lookups in one job."""
+"""Intervention lookup by free-text name, many lookups in one job.
+
+A name matches a text if it contains the text's tokens in order, anywhere, ignoring case. An
+inverted index of the names' short strings (all runs of up to three characters) finds
+candidates by equi-join: a text is joined on the rarest of its tokens' runs only, and the
+candidates are checked against the whole pattern. A run that many names have is split by
+adaptive skew handling like any other key; a text with a run that no name has matches nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftwise import config
-from liftwise.functions.joins import broadcast_if_small
+GRAM = 3
+
 
+def tokens_of(text: Column) -> Column:
+    """Tokens of a text: quotes and percent signs dropped, split on white space, lower case."""
+    cleaned = F.lower(F.trim(F.regexp_replace(text, "['%]", "")))
+    return F.filter(F.split(cleaned, r"\s+"), lambda t: t != "")
 
-def name_pattern(text) -> F.Column:
-    """Drop quotes and percent signs, split on whitespace, join tokens with '%', and
-    wrap in '%': 'mobile order' -> '%mobile%order%'. Backslash and underscore are
+
+def name_pattern(text: Column) -> Column:
+    """LIKE pattern of a text: 'Mobile order' -> '%mobile%order%'. Backslash and underscore are
     ordinary characters of a name."""
-    cleaned = F.regexp_replace(F.trim(F.regexp_replace(text, "['%]", "")), r"([\\_])", r"\\$1")
-    tokens = F.filter(F.split(cleaned, r"\s+"), lambda t: t != "")
-    return F.concat(F.lit("%"), F.array_join(tokens, "%"), F.lit("%"))
+    escaped = F.transform(tokens_of(text), lambda t: F.regexp_replace(t, r"([\\_])", r"\\$1"))
+    return F.concat(F.lit("%"), F.array_join(escaped, "%"), F.lit("%"))
+
+
+def _runs(text: Column, size: Column) -> Column:
+    """All runs of `size` characters (an array; empty if the text is shorter)."""
+    n = F.length(text) - size + 1
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, size))).otherwise(
+        F.array().cast("array<string>")
+    )
+
+
+def name_index(view: DataFrame) -> DataFrame:
+    """(gram, intervention_id, lname): a row for each distinct run of 1 to 3 characters of each
+    name; null names have none."""
+    names = view.select("intervention_id", F.lower("name").alias("lname")).where("lname IS NOT NULL")
+    grams = F.array_distinct(F.concat(*[_runs(F.col("lname"), F.lit(n)) for n in range(1, GRAM + 1)]))
+    return names.select(F.explode(grams).alias("gram"), "intervention_id", "lname")
 
 
 def lookup_intervention(view: DataFrame, lookups: DataFrame) -> DataFrame:
-    """(query_id, query_text, intervention_id): the first id (by id order) whose name
-    matches the pattern, case-insensitively; NULL when nothing matches."""
-    q = lookups.select("query_id", "query_text", F.lower(name_pattern(F.col("query_text"))).alias("pattern"))
-    # Pattern matching is a non-equi join: broadcast the intervention names (metadata,
-    # counted) and stream the lookups, so any number of lookups runs in one pass.
-    names = broadcast_if_small(
-        view.select("intervention_id", F.lower("name").alias("lname")), config.MAX_BROADCAST_INTERVENTION_ROWS
+    """(query_id, query_text, intervention_id): the first id (by id order) whose name matches
+    the text; a text without tokens matches every name; NULL when nothing matches."""
+    index = name_index(view)
+    own = F.transform(F.col("tokens"), lambda t: _runs(t, F.least(F.length(t), F.lit(GRAM))))
+    asked = lookups.select("query_id", F.lower(name_pattern(F.col("query_text"))).alias("pattern"), tokens_of(F.col("query_text")).alias("tokens"))
+    asked = asked.withColumn("grams", F.array_distinct(F.flatten(own)))
+    frequency = index.groupBy("gram").agg(F.count(F.lit(1)).alias("n_names"))
+    grams = asked.where(F.size("grams") > 0).select("query_id", "pattern", F.explode("grams").alias("gram"))
+    rarest = grams.join(frequency, "gram", "left").groupBy("query_id", "pattern").agg(
+        F.min(F.struct(F.coalesce("n_names", F.lit(0)).alias("n_names"), "gram")).alias("rare")
     )
-    hits = q.join(names, F.expr("lname LIKE pattern"))
-    best = hits.groupBy("query_id").agg(F.min("intervention_id").alias("intervention_id"))  # combined map-side
-    return lookups.select("query_id", "query_text").join(best, "query_id", "left")
+    hits = rarest.where("rare.n_names > 0").select("query_id", "pattern", F.col("rare.gram").alias("gram")).join(index, "gram").where("lname LIKE pattern")
+    best = hits.groupBy("query_id").agg(F.min("intervention_id").alias("intervention_id"))
+    # texts without tokens: the first of all named interventions, joined on a key they share
+    first = view.where("name IS NOT NULL").agg(F.min("intervention_id").alias("intervention_id"))
+    first = first.withColumn("n_grams", F.pmod(F.xxhash64("intervention_id"), F.lit(1)))  # 0
+    empty = asked.select("query_id", F.size("grams").cast("long").alias("n_grams")).join(F.broadcast(first), "n_grams").drop("n_grams")  # one row
+    return lookups.select("query_id", "query_text").join(best.unionByName(empty), "query_id", "left")

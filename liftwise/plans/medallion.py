@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from liftwise import config
 from liftwise.functions.columns import iso_weekday
 from liftwise.functions.joins import broadcast_if_small
+from liftwise.operators.weekly import weekly_panel
 from liftwise.sources import tables
 
 
@@ -30,10 +31,14 @@ def silver_merchants(bronze_merchants: DataFrame) -> DataFrame:
     return conform(bronze_merchants, MERCHANT_SCHEMA)
 
 
-def silver_transactions(bronze_transactions: DataFrame) -> DataFrame:
+def with_calendar(transactions: DataFrame) -> DataFrame:
     weekday = iso_weekday(F.col("txn_date"))
     calendar = {"year": F.year("txn_date"), "month": F.month("txn_date"), "day_of_week": weekday, "is_weekend": weekday >= 6}
-    return conform(bronze_transactions, TRANSACTION_SCHEMA).withColumns(calendar)
+    return transactions.withColumns(calendar)
+
+
+def silver_transactions(bronze_transactions: DataFrame) -> DataFrame:
+    return with_calendar(conform(bronze_transactions, TRANSACTION_SCHEMA))
 
 
 def gold_enriched(silver_tx: DataFrame, silver_m: DataFrame) -> DataFrame:
@@ -48,12 +53,14 @@ class Layers:
     merchants: DataFrame
     transactions: DataFrame
     gold: DataFrame
+    weekly: DataFrame
 
 
 def build(bronze_merchants: DataFrame, bronze_transactions: DataFrame) -> Layers:
     m = silver_merchants(bronze_merchants)
     t = silver_transactions(bronze_transactions)
-    return Layers(m, t, gold_enriched(t, m))
+    gold = gold_enriched(t, m)
+    return Layers(m, t, gold, weekly_panel(gold))
 
 
 def refresh(
@@ -62,8 +69,8 @@ def refresh(
     root: str,
     fmt: str = config.TABLE_FORMAT,
 ) -> Layers:
-    """Write silver and gold under `root` and return DataFrames that read them back.
-    Gold is partitioned by year/month so date-bounded queries prune files."""
+    """Write silver, gold and the weekly sums of gold under `root` and return DataFrames that
+    read them back. Gold is partitioned by year/month so date-bounded queries prune files."""
     spark = bronze_merchants.sparkSession
     layers = build(bronze_merchants, bronze_transactions)
     tables.overwrite(layers.merchants, f"{root}/silver/merchants", fmt)
@@ -78,4 +85,6 @@ def refresh(
     gold = spark.read.format(fmt).load(f"{root}/gold/transactions_enriched").select(
         *config.GOLD_COLUMNS
     )
-    return Layers(m, t, gold)
+    tables.overwrite(weekly_panel(gold), f"{root}/gold/transactions_weekly", fmt, ("year",))
+    weekly = spark.read.format(fmt).load(f"{root}/gold/transactions_weekly")
+    return Layers(m, t, gold, weekly)

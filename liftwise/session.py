@@ -43,10 +43,10 @@ def _context_or_none(spark: SparkSession):
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors (once per application), for clusters on which it is
-    not installed. Local masters see the driver's files."""
+    """Send this package to the Python workers (once per application): they do not have the
+    driver's import path, on a local master either."""
     sc = _context_or_none(spark)
-    if sc is None or sc.master.startswith("local") or getattr(sc, "_liftwise_shipped", False):
+    if sc is None or getattr(sc, "_liftwise_shipped", False):
         return
     import shutil
 

@@ -49,6 +49,7 @@ class Sources:
     merchants: DataFrame
     transactions: DataFrame
     interventions: DataFrame
+    cohorts: DataFrame
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,18 +105,23 @@ def intervention_metadata(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(INTERVENTIONS), INTERVENTION_SCHEMA)
 
 
+def cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(intervention_id, merchant_id), a row per member: cohorts of any size."""
+    meta = intervention_metadata(spark).select("intervention_id", "cohort_mod")
+    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey")
+    return supplier.join(F.broadcast(meta), (F.col("s_suppkey") % 10) == F.col("cohort_mod")).select(
+        "intervention_id", merchant_code(F.col("s_suppkey")).alias("merchant_id")
+    )
+
+
 def interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw interventions: one row each, cohort as a sorted array of merchant ids."""
+    """Raw interventions: one row each, with the cohort as a sorted array of merchant ids, as
+    the source delivers it. The engine reads `cohorts`."""
     meta = intervention_metadata(spark)
-    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey")
-    members = supplier.join(
-        F.broadcast(meta.select("intervention_id", "cohort_mod")),
-        (F.col("s_suppkey") % 10) == F.col("cohort_mod"),
-    ).select("intervention_id", merchant_code(F.col("s_suppkey")).alias("merchant_id"))
-    cohorts = members.groupBy("intervention_id").agg(
+    cohorts_ = cohorts(spark, sf_dir).groupBy("intervention_id").agg(
         F.array_sort(F.collect_list("merchant_id")).alias("treated_merchant_ids")
     )
-    return meta.join(cohorts, "intervention_id", "left").select(
+    return meta.join(cohorts_, "intervention_id", "left").select(
         "intervention_id",
         "name",
         F.coalesce("treated_merchant_ids", F.array().cast("array<string>")).alias(
@@ -128,9 +134,53 @@ def interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interventions derived from the tables, one per part: named after it, beginning on the
+    first day it was shipped, with a window after it as long as its size in weeks."""
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    first = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_shipdate").cast("date").alias("start_date"))
+    digits = F.col("p_partkey").cast("string")
+    code = F.concat(F.lit("PRM_"), F.when(F.length(digits) < 7, F.lpad(digits, 7, "0")).otherwise(digits))
+    return part.join(first, "p_partkey").select(
+        code.alias("intervention_id"),
+        F.concat_ws("_", F.regexp_replace("p_name", " ", "_"), "p_type", F.col("p_partkey") % 100).alias("name"),
+        "start_date",
+        F.lit(90).cast("long").alias("pre_window_days"),
+        (F.col("p_size") * 7).cast("long").alias("post_window_days"),
+    )
+
+
+def lookup_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, query_text): names of parts, quoted or cut short, and words of conversations."""
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    name, third = F.col("p_name"), F.col("p_partkey") % 3
+    text = (
+        F.when(third == 0, F.concat(F.lit("'"), F.upper(name), F.lit("' "), "p_type"))
+        .when(third == 1, F.concat(F.substring_index(name, " ", 1), F.lit(" 100% "), F.col("p_partkey") % 100))
+        .otherwise(F.substring(name, 2, 4))
+    )
+    turns = _table(spark, sf_dir, "conversations")
+    word = F.regexp_extract(F.col("text"), "[A-Za-z]+", 0)
+    of_turns = turns.select((-1 - F.col("conv_id") * 100 - F.col("turn")).cast("long").alias("query_id"), word.alias("query_text"))
+    return part.select(F.col("p_partkey").cast("long").alias("query_id"), text.alias("query_text")).unionAll(of_turns)
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(intervention_id, decision, decided_at): a decision of each user turn, on one intervention
+    by the conversation's number and in words by the text's length."""
+    turns = _table(spark, sf_dir, "conversations").where("role = 'user'")
+    odd, n = F.col("conv_id") % 2 == 1, F.length("text")
+    return turns.select(
+        F.when(odd, "INT_001").otherwise("INT_002").alias("intervention_id"),
+        F.when(odd == (n % 10 != 0), " Yes").otherwise("not now").alias("decision"),
+        (F.col("conv_id") * 100 + F.col("turn")).cast("long").alias("decided_at"),
+    )
+
+
 def load(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(
         merchants=merchants(spark, sf_dir),
         transactions=transactions(spark, sf_dir),
         interventions=interventions(spark, sf_dir),
+        cohorts=cohorts(spark, sf_dir),
     )

@@ -157,16 +157,15 @@ def test_mean_signed_pre_lift_is_zero(spark):
 
 def test_salted_range_join_equals_broadcast(spark, monkeypatch):
     from liftwise import config
-    from liftwise.operators import windows as W
+    from liftwise.operators import weekly as W
 
     series = {f"M{i}": full_range(wave(100 + i, phase=i)) for i in range(1, 6)}
     p = make_panel(spark, series)
     iv = make_interventions(spark, [("A", ["M1"], START, 60), ("B", ["M2"], START - dt.timedelta(days=30), 60)])
     win = intervention_windows(iv)
-    cols = ["intervention_id", "merchant_id", "txn_date", "week_start"]
-    fast = sorted(tuple(r) for r in W.rows_in_windows(p, win, "pre_start", "post_end").select(*cols).collect())
+    fast = sorted(tuple(r) for r in W.weeks_in_windows(p, win, "pre_start", "post_end").collect())
     monkeypatch.setattr(config, "MAX_BROADCAST_WINDOW_WEEK_ROWS", 0)
-    salted = sorted(tuple(r) for r in W.rows_in_windows(p, win, "pre_start", "post_end", salt_buckets=4).select(*cols).collect())
+    salted = sorted(tuple(r) for r in W.weeks_in_windows(p, win, "pre_start", "post_end", salt_buckets=4).collect())
     assert fast == salted and len(fast) > 0
 
 

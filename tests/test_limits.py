@@ -10,7 +10,7 @@ from conftest import SF001, make_interventions
 from pyspark.sql import functions as F
 
 from liftwise.functions import columns, sql_functions
-from liftwise.operators import matching, metrics, panel, windows
+from liftwise.operators import adhoc, matching, panel, windows
 from liftwise.plans import causal, lookup
 from liftwise.plans.context import context
 from liftwise.sources import tables
@@ -28,6 +28,30 @@ def test_amounts_below_a_cent_are_summed(spark):
     assert total == pytest.approx(4.0, abs=1e-12) and mean == pytest.approx(0.004, abs=1e-12)
 
 
+def test_amounts_far_below_a_cent_and_no_amounts(spark):
+    df = spark.createDataFrame([(4e-7,)] * 1000 + [(float("nan"),), (float("inf"),), (None,), (-3.25,)], "a double")
+    total, mean = df.agg(columns.money_sum(F.col("a")), columns.money_avg(F.col("a"))).first()
+    assert total == pytest.approx(4e-4 - 3.25, abs=1e-12) and mean == pytest.approx(total / 1001, abs=1e-15)
+    cents = [0.01, 0.1, 0.29, 1.15, 1234567.89, 8.2e12 + 0.25]  # exact: no rest beyond the cents
+    got = spark.createDataFrame([(x,) for x in cents], "a double").agg(F.sum(columns.sub_cents(F.col("a"))), columns.cents_sum(F.col("a"))).first()
+    assert got[0] == 0 and got[1] == 1 + 10 + 29 + 115 + 123456789 + 820_000_000_000_025
+
+
+def test_weeks_below_a_cent_are_not_rounded(spark):
+    start = dt.date(2020, 1, 6)
+    rows = [("M1", start + dt.timedelta(days=7 * k), x, 1) for k, x in enumerate((0.004, 0.008, 0.012))]
+    gold = spark.createDataFrame(rows, "merchant_id string, txn_date date, amount double, txn_count int")
+    win = spark.createDataFrame([("I", start, start + dt.timedelta(days=20))], "intervention_id string, pre_start date, pre_end date")
+    (v,) = matching.normalize_vectors(matching.match_vectors(gold, win)).collect()
+    assert v.vec[:3] == pytest.approx([0.5, 1.0, 1.5])
+
+
+def test_injected_amounts_are_rounded_once(spark):
+    p = spark.createDataFrame([("M1", dt.date(2020, 1, 1), 0.105, 1)], "merchant_id string, txn_date date, amount double, txn_count int")
+    raw = make_interventions(spark, [("A", ["M1"], dt.date(2019, 1, 1), 30)]).withColumn("true_effect", F.lit(0.1))
+    assert panel.inject_lift(p, raw).first().amount == 0.12  # 0.1155, not 0.11 * 1.1 = 0.121
+
+
 def test_windows_wider_than_the_default_keep_every_week(spark):
     start = dt.date(2020, 1, 6)
     rows = [("M1", start + dt.timedelta(days=7 * k), 1.0, 1) for k in range(104)]
@@ -58,7 +82,7 @@ def test_adhoc_reads_named_views_only(spark):
     full = spark.createDataFrame([("I", "n", 0.05)], "intervention_id string, name string, true_effect double")
     full.createOrReplaceTempView("full_table")
     views = {"v": full.select("intervention_id", "name")}
-    assert metrics.adhoc_sql(spark, "WITH c AS (SELECT * FROM v) SELECT ';' AS s, count(*) AS n FROM c", views).first().s == ";"
+    assert adhoc.adhoc_sql(spark, "WITH c AS (SELECT * FROM v) SELECT ';' AS s, count(*) AS n FROM c", views).first().s == ";"
     for sql in (
         "SELECT true_effect FROM full_table",
         "SELECT name, (SELECT max(true_effect) FROM full_table) FROM v",
@@ -68,8 +92,59 @@ def test_adhoc_reads_named_views_only(spark):
         "SELECT * FROM range(3)",
         "WITH c AS (SELECT 1 AS x) INSERT INTO full_table SELECT * FROM c",
     ):
-        with pytest.raises(metrics.AdhocRejected):
-            metrics.adhoc_sql(spark, sql, views)
+        with pytest.raises(adhoc.AdhocRejected):
+            adhoc.adhoc_sql(spark, sql, views)
+
+
+def test_adhoc_leaks_are_refused(spark):
+    """Names and functions that lead to other relations, classes, files or sessions."""
+    full = spark.createDataFrame([("I", "n", 0.05)], "intervention_id string, name string, true_effect double")
+    full.createOrReplaceTempView("full_table")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION leak() RETURNS DOUBLE RETURN (SELECT max(true_effect) FROM full_table)")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION leaks() RETURNS TABLE (x DOUBLE) RETURN SELECT true_effect FROM full_table")
+    spark.range(1).createOrReplaceTempView("v")  # the caller's own view of an allowed name
+    views = {"v": full.select("intervention_id", "name")}
+    for sql in (
+        "SELECT true_effect FROM IDENTIFIER('full_table')",
+        "SELECT true_effect FROM IDENTIFIER('full' || '_table')",
+        "SELECT leak() FROM v",
+        "SELECT * FROM leaks()",
+        "SELECT v.*, x FROM v, LATERAL leaks()",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT java_method('java.lang.System', 'getProperty', 'user.home') FROM v",
+        "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT input_file_name() FROM v",
+        "SELECT name FROM v WHERE EXISTS (SELECT 1 FROM full_table)",
+        "SELECT name FROM v WHERE name IN (SELECT name FROM full_table)",
+        "SELECT max(leak()) OVER (ORDER BY name) FROM v",
+        "SELECT builtin.reflect('java.lang.System', 'getProperty', 'user.home')",
+        "FROM v SELECT TRANSFORM(name) USING 'cat' AS (x)",
+        "TABLE full_table",
+        "SET spark.sql.ansi.enabled=false",
+        "EXPLAIN SELECT * FROM v",
+        "",
+    ):
+        with pytest.raises(adhoc.AdhocRejected):
+            adhoc.adhoc_sql(spark, sql, views).collect()
+    assert spark.table("v").columns == ["id"] and spark.table("full_table").count() == 1
+
+
+def test_adhoc_takes_ordinary_queries(spark):
+    rows = [("a", dt.date(2020, 1, 31), 1.5), ("a", dt.date(2020, 2, 1), None), ("b", dt.date(2021, 2, 1), 4.0)]
+    views = {"V": spark.createDataFrame(rows, "k string, d date, x double"), "w": spark.createDataFrame([("a", 1)], "k string, n int")}
+    for sql, want in {
+        "SELECT k, round(sum(x), 1) AS s FROM v GROUP BY k HAVING sum(x) > 2 ORDER BY k": [("b", 4.0)],
+        "WITH m AS (SELECT date_trunc('month', d) AS m, count(*) AS n FROM v GROUP BY 1) SELECT max(n) FROM m": [(1,)],
+        "SELECT v.k, n FROM v LEFT JOIN w ON v.k = w.k WHERE d >= DATE'2020-02-01' ORDER BY 1": [("a", 1), ("b", None)],
+        "SELECT k FROM v WHERE x = (SELECT max(x) FROM v) UNION SELECT k FROM w ORDER BY k LIMIT 1": [("a",)],
+        "SELECT k, row_number() OVER (PARTITION BY k ORDER BY d) AS r FROM v WHERE k IN ('a', 'c') ORDER BY r": [("a", 1), ("a", 2)],
+        "SELECT CASE WHEN x IS NULL THEN 'none' ELSE upper(k) END AS y FROM v WHERE k LIKE 'a%' AND year(d) = 2020 ORDER BY y": [("A",), ("none",)],
+        "SELECT * FROM VALUES (1), (2) AS t(a) WHERE a BETWEEN 2 AND 3": [(2,)],
+        "SELECT 1 + 1": [(2,)],
+        "SELECT count(DISTINCT k) FILTER (WHERE x > 1) FROM (SELECT * FROM v) s": [(2,)],
+        "SELECT z FROM w LATERAL VIEW explode(array(1, 2)) e AS z ORDER BY z DESC": [(2,), (1,)],
+    }.items():
+        assert [tuple(r) for r in adhoc.adhoc_sql(spark, sql, views).collect()] == want, sql
 
 
 def test_agent_view_leaves_no_full_view(spark):
@@ -99,14 +174,20 @@ def test_the_latest_decision_counts(spark):
     assert not causal.approved(d.drop("turn")).collect()
 
 
-def test_sql_function_takes_more_matches_than_registered(spark):
+def test_sql_function_takes_more_matches_than_stored(spark):
     ctx = context(spark, SF001)
-    sql_functions.register_causal(spark, ctx, max_matches=2)
-    few = [tuple(r) for r in spark.sql("SELECT * FROM build_control_group('INT_001', 2)").collect()]
-    many = [tuple(r) for r in spark.sql("SELECT * FROM build_control_group('INT_001', 4)").collect()]
-    assert len(many) > len(few) and set(few) <= set(many)
-    sql_functions.register_causal(spark, ctx, max_matches=4)
-    assert many == [tuple(r) for r in spark.sql("SELECT * FROM build_control_group('INT_001', 4)").collect()]
+    def called(n: int) -> list[tuple]:
+        return [tuple(r) for r in ctx.warehouse.call(f"build_control_group('INT_001', {n})").collect()]
+
+    try:
+        sql_functions.publish(ctx.warehouse, 2)
+        few, many = called(2), called(4)
+        assert len(many) > len(few) and set(few) <= set(many)
+        sql_functions.publish(ctx.warehouse, 4)
+        assert many == called(4)  # in the order of the function, too
+        assert not called(0)
+    finally:
+        sql_functions.publish(ctx.warehouse)
 
 
 def test_ties_leave_a_block_k_at_a_time():

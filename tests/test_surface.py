@@ -9,8 +9,7 @@ import pytest
 from conftest import SF001, daily, day, make_interventions, make_panel
 from pyspark.sql import functions as F
 
-from liftwise.functions import sql_functions
-from liftwise.operators import metrics, panel, quality
+from liftwise.operators import adhoc, metrics, panel, quality
 from liftwise.operators.windows import intervention_windows, treated_merchants
 from liftwise.plans.causal import CausalRun
 from liftwise.plans.context import context
@@ -32,16 +31,15 @@ PARAMS = [
 
 @pytest.mark.parametrize("metric,start,end,group_by,filters", PARAMS)
 def test_sql_function_equals_dataframe(spark, ctx, metric, start, end, group_by, filters):
-    sql_functions.register(spark, ctx)
     args = {"metric": metric, "s": start, "e": end, "g": group_by}
     names = ["filter_location_type", "filter_region", "filter_size_band", "filter_brand"]
     for n in names:
         args[n] = filters.get(n)
     sql = (
-        "SELECT * FROM query_metric(:metric, CAST(:s AS DATE), CAST(:e AS DATE), :g, "
+        "query_metric(:metric, CAST(:s AS DATE), CAST(:e AS DATE), :g, "
         ":filter_location_type, :filter_region, :filter_size_band, :filter_brand)"
     )
-    via_sql = sorted(tuple(r) for r in spark.sql(sql, args=args).collect())
+    via_sql = sorted(tuple(r) for r in ctx.warehouse.call(sql, **args).collect())
     via_df = sorted(tuple(r) for r in metrics.query_metric(ctx.gold, metric, start, end, group_by, **filters).collect())
     assert via_sql == via_df
 
@@ -59,10 +57,10 @@ def test_unknown_metric_or_dimension_raises(ctx):
 
 
 def test_adhoc_rejects_non_select(spark, ctx):
-    with pytest.raises(metrics.AdhocRejected):
-        metrics.adhoc_sql(spark, "DROP TABLE x", {"transactions_enriched": ctx.gold})
-    with pytest.raises(metrics.AdhocRejected):
-        metrics.adhoc_sql(spark, "SELECT 1; SELECT 2", {"transactions_enriched": ctx.gold})
+    with pytest.raises(adhoc.AdhocRejected):
+        adhoc.adhoc_sql(spark, "DROP TABLE x", {"transactions_enriched": ctx.gold})
+    with pytest.raises(adhoc.AdhocRejected):
+        adhoc.adhoc_sql(spark, "SELECT 1; SELECT 2", {"transactions_enriched": ctx.gold})
 
 
 def test_quality_gates(spark, ctx):
@@ -124,14 +122,14 @@ def test_sample_cohort_is_deterministic_and_weighted(ctx):
 
 @pytest.mark.parametrize("iv", ["INT_001", "INT_002"])
 def test_causal_sql_functions_equal_dataframe(spark, ctx, iv):
-    sql_functions.register_causal(spark, ctx, max_matches=10)
+    w = ctx.published
     run = CausalRun(ctx.gold, ctx.windows, ctx.treated, 10)
     df_lift = [tuple(r)[1:] for r in run.estimate_lift(first_n_weeks=3).where(F.col("intervention_id") == iv).collect()]
-    sql_lift = [tuple(r) for r in spark.sql(f"SELECT * FROM estimate_lift('{iv}', 10, 3)").collect()]
+    sql_lift = [tuple(r) for r in w.call(f"estimate_lift('{iv}', 10, 3)").collect()]
     assert df_lift == sql_lift
     cols = ["week_number", "treated_avg_revenue", "control_avg_revenue", "lift_pct", "period"]
     df_tr = sorted(tuple(r) for r in run.parallel_trends.where(F.col("intervention_id") == iv).select(*cols).collect())
-    sql_tr = sorted(tuple(r) for r in spark.sql(f"SELECT * FROM check_parallel_trends('{iv}', 5)").collect())
+    sql_tr = sorted(tuple(r) for r in w.call(f"check_parallel_trends('{iv}', 5)").collect())
     df_tr5 = sorted(
         tuple(r)
         for r in CausalRun(ctx.gold, ctx.windows, ctx.treated, 5).parallel_trends.where(F.col("intervention_id") == iv).select(*cols).collect()
@@ -159,9 +157,9 @@ def test_n_matches_default_and_validation():
 
 def test_adhoc_rejects_relations_outside_allow_list(spark, ctx):
     sql = f"SELECT COUNT(*) AS n FROM parquet.`{SF001}/lineitem.parquet`"
-    with pytest.raises(metrics.AdhocRejected):
-        metrics.adhoc_sql(spark, sql, {"transactions_enriched": ctx.gold})
-    ok = metrics.adhoc_sql(spark, "SELECT COUNT(*) AS n FROM transactions_enriched", {"transactions_enriched": ctx.gold})
+    with pytest.raises(adhoc.AdhocRejected):
+        adhoc.adhoc_sql(spark, sql, {"transactions_enriched": ctx.gold})
+    ok = adhoc.adhoc_sql(spark, "SELECT COUNT(*) AS n FROM transactions_enriched", {"transactions_enriched": ctx.gold})
     assert ok.first().n > 0
 
 
