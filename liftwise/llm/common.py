@@ -6,6 +6,7 @@ columns, whatever their names, cannot clash with its working columns.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,7 +36,29 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held._held_at = path
+    return held
+
+
+def discard(held: list[DataFrame]) -> None:
+    """Delete tables that `hold` wrote and that nothing reads any more."""
+    for df in held:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._held_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows in an Arrow batch, for jobs run inside whose rows hold long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 FILTER_BITS = 1 << 23  # 256 rows of 4 KB
