@@ -248,6 +248,5 @@ def pack(
                 held = 0
         if rows:
             yield out()
-        encoder(path).release()
 
     return df.select(*cols).mapInArrow(run, SCHEMA)

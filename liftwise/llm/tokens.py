@@ -18,7 +18,7 @@ import unicodedata
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_BYTES = 48 << 20  # of each cache; emptied when full, and at the end of a task
+CACHE_BYTES = 48 << 20  # of each cache in a worker; emptied when full
 ENTRY_BYTES = 200  # of an entry besides its text and ids, about
 
 
@@ -116,11 +116,6 @@ class PieceEncoder:
         known = self.pieces
         return [b"".join([known[p] for p in t.split()]) if self._plain(t) else self.whole(t) for t in texts]
 
-    def release(self) -> None:
-        """Empties the caches: a reused worker keeps the vocabulary only."""
-        self.pieces.release()
-        self.pieces.words.release()
-
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
