@@ -52,7 +52,7 @@ MAX_BROADCAST_WINDOW_WEEK_ROWS = 2_000_000
 
 # Catalog tables: gold rows in a bucket of merchants, over all months, and chunks of the
 # merchants among which SQL spreads a comparison with all of them.
-BUCKET_ROWS = 200_000_000
+BUCKET_ROWS = 50_000_000
 SQL_CHUNKS = 64
 
 # Matching kernel blocking: treated vectors per block, control vectors per chunk, and

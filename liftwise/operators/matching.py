@@ -23,7 +23,9 @@ Plan:
      intervention in one task.
   4. a final row_number per treated unit over the partial top-k lists (Spark plans
      it as a partial + final WindowGroupLimit).
-  No (treated x control x week) rows exist at any point.
+  No (treated x control x week) rows exist at any point. Within a block pair, sums over
+  groups of weeks bound residuals from below, and pairs beyond the current k-th are
+  passed over (exact; `pruning_counts` reports how many).
 """
 
 from __future__ import annotations
@@ -163,24 +165,89 @@ def _stack(vectors) -> np.ndarray:
 TILE_CELLS = 1 << 17  # 1 MB of float64 per working buffer (measured best of 64 KB..4 MB)
 
 
-def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int, exclude=None):
+GROUP_WEEKS = 4  # weeks whose sums bound a pair's residual from below
+DENSE_SHARE = 0.2  # of pairs left by the bounds: beyond it a tile is computed whole
+
+
+def _group_sums(values: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over groups of weeks, and which groups a vector has whole."""
+    pad = -values.shape[1] % GROUP_WEEKS
+    shape = (len(values), -1, GROUP_WEEKS)
+    whole = np.pad(ok, ((0, 0), (0, pad))).reshape(shape)
+    return np.pad(values, ((0, 0), (0, pad))).reshape(shape).sum(axis=2), whole.all(axis=2)
+
+
+def _lower_bounds(t_sums, t_whole, c_sums, c_whole) -> np.ndarray:
+    """A lower bound of every pair's residual: the differences of the sums over those groups of
+    weeks that both vectors have whole (less a margin for rounding)."""
+    bound = np.zeros((len(t_sums), len(c_sums)))
+    for g in range(t_sums.shape[1]):
+        a, b = t_whole[:, g], c_whole[:, g]
+        if a.any() and b.any():
+            d = np.abs(t_sums[:, g, None] - c_sums[None, :, g])
+            d[~a, :] = 0.0
+            d[:, ~b] = 0.0
+            bound += d
+    return bound * (1 - 1e-9) - 1e-12
+
+
+def _residuals(t0, t_ok, c0, c_ok, ti, ci) -> np.ndarray:
+    """Residuals of the given pairs, weeks in order."""
+    out = np.zeros(len(ti))
+    for w in range(t0.shape[1]):
+        out += np.abs(t0[ti, w] - c0[ci, w]) * (t_ok[ti, w] & c_ok[ci, w])
+    return out
+
+
+def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int, exclude=None, min_overlap: int = 1, counts: dict | None = None):
     """Exact partial top-k of one (treated block, control chunk) pair.
 
     Returns (treated index, control index, residual, common weeks) for every control
     whose residual is within the k smallest of its treated row, ties at the cut by
     control id as in the final ranking. Controls whose id is in `exclude`
-    (merchants treated in this intervention) are not candidates.
+    (merchants treated in this intervention) are not candidates, nor are those with fewer
+    than `min_overlap` weeks in common.
+
+    Pairs whose lower bound is beyond the k-th of the residuals computed first (those of the
+    smallest bounds) are passed over; where the bounds leave too many pairs, the rest of the
+    block is computed whole. `counts` gets the numbers of pairs and of pairs computed.
     """
     tv, cv = _stack(t_vecs), _stack(c_vecs)
     t_ok, c_ok = ~np.isnan(tv), ~np.isnan(cv)
     t0, c0 = np.where(t_ok, tv, 0.0), np.where(c_ok, cv, 0.0)
     dist = np.zeros((tv.shape[0], cv.shape[0]))
+    t_sums, t_whole = _group_sums(t0, t_ok)
+    c_sums, c_whole = _group_sums(c0, c_ok)
+    first = 2 * k  # pairs of a treated row whose residuals give the cut
+    prune = cv.shape[0] > 8 * k
+    computed = 0
+    usable = np.ones(cv.shape[0], bool)
+    if exclude is not None and len(exclude):
+        usable = ~np.isin(np.asarray(c_ids, dtype=object), np.asarray(exclude, dtype=object))
     # Treated rows in tiles so the working buffer stays in cache; weeks in order within a
     # tile, so every pair is summed in the same order.
     tile = max(1, TILE_CELLS // max(1, cv.shape[0]))
     for r0 in range(0, tv.shape[0], tile):
         r1 = min(r0 + tile, tv.shape[0])
         acc = dist[r0:r1]
+        if prune:
+            bound = _lower_bounds(t_sums[r0:r1], t_whole[r0:r1], c_sums, c_whole)
+            bound[:, ~usable] = np.inf
+            near = np.argpartition(bound, first - 1, axis=1)[:, :first]
+            rows = np.repeat(np.arange(r0, r1), first)
+            d = _residuals(t0, t_ok, c0, c_ok, rows, near.ravel())
+            overlap = (t_ok[rows] & c_ok[near.ravel()]).sum(axis=1)
+            valid = (overlap >= min_overlap) & usable[near.ravel()]
+            cut = np.sort(np.where(valid, d, np.inf).reshape(near.shape), axis=1)[:, k - 1 : k]
+            ti, ci = np.nonzero(bound <= cut)
+            computed += len(rows)
+            if len(ti) <= DENSE_SHARE * bound.size:
+                acc[:] = np.inf
+                acc[ti, ci] = _residuals(t0, t_ok, c0, c_ok, ti + r0, ci)
+                computed += len(ti)
+                continue
+            prune = False  # these vectors are too noisy for the bounds
+        computed += acc.size
         buf = np.empty_like(acc)
         for w in range(tv.shape[1]):
             a, b = t_ok[r0:r1, w], c_ok[:, w]
@@ -193,10 +260,13 @@ def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int, exclude=None):
             if not b.all():
                 buf[:, ~b] = 0.0
             acc += buf
+    if counts is not None:
+        counts["pairs"] = counts.get("pairs", 0) + dist.size
+        counts["computed"] = counts.get("computed", 0) + min(computed, dist.size)
     # Weeks both have, for every pair at once (exact: counts are small integers).
     common = (t_ok.astype(np.float32) @ c_ok.astype(np.float32).T).astype(np.int32)
-    if exclude is not None and len(exclude):
-        common[:, np.isin(np.asarray(c_ids, dtype=object), np.asarray(exclude, dtype=object))] = 0
+    common[:, ~usable] = 0
+    common[np.isinf(dist) | (common < min_overlap)] = 0  # passed over (never among the k), or too few
     masked = np.where(common > 0, dist, np.inf)
     if cv.shape[0] > k:
         kth = np.partition(masked, k - 1, axis=1)[:, k - 1 : k]
@@ -215,7 +285,23 @@ def block_top_k(t_ids, t_vecs, c_ids, c_vecs, k: int, exclude=None):
     return ti, ci, dist[ti, ci], common[ti, ci]
 
 
-def _kernel(k: int):
+def _counts_kernel(k: int):
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for iid, t_ids, t_vecs, c_ids, c_vecs, ex_ids in zip(
+                pdf["intervention_id"], pdf["t_ids"], pdf["t_vecs"], pdf["c_ids"], pdf["c_vecs"], pdf["ex_ids"]
+            ):
+                n: dict = {"pairs": 0, "computed": 0}
+                if len(t_ids) and len(c_ids):
+                    block_top_k(t_ids, t_vecs, c_ids, c_vecs, k, ex_ids, counts=n)
+                rows.append((iid, n["pairs"], n["computed"]))
+            yield pd.DataFrame(rows, columns=["intervention_id", "n_pairs", "n_computed"])
+
+    return run
+
+
+def _kernel(k: int, min_overlap: int = 1):
     def run(batches):
         for pdf in batches:
             parts = []
@@ -224,7 +310,7 @@ def _kernel(k: int):
             ):
                 if len(t_ids) == 0 or len(c_ids) == 0:
                     continue
-                ti, ci, dist, common = block_top_k(t_ids, t_vecs, c_ids, c_vecs, k, ex_ids)
+                ti, ci, dist, common = block_top_k(t_ids, t_vecs, c_ids, c_vecs, k, ex_ids, min_overlap)
                 parts.append(
                     pd.DataFrame(
                         {
@@ -255,6 +341,14 @@ def _hash_block(n_col: str):
     return F.pmod(F.xxhash64("merchant_id"), F.col(n_col)).cast("int")
 
 
+def pruning_counts(treated_vecs: DataFrame, pool_vecs: DataFrame, k: int, **options) -> DataFrame:
+    """(intervention_id, n_pairs, n_computed): how many treated x control pairs there are, and of
+    how many the residual is computed (the others are beyond their lower bounds)."""
+    pairs = candidate_pairs(treated_vecs, pool_vecs, k, kernel=False, **options)
+    done = pairs.mapInPandas(_counts_kernel(k), "intervention_id string, n_pairs long, n_computed long")
+    return done.groupBy("intervention_id").agg(F.sum("n_pairs").alias("n_pairs"), F.sum("n_computed").alias("n_computed"))
+
+
 def candidate_pairs(
     treated_vecs: DataFrame,
     pool_vecs: DataFrame,
@@ -265,6 +359,8 @@ def candidate_pairs(
     pool_key: str = "intervention_id",
     exclusions: DataFrame | None = None,
     max_exclusions: int | None = None,
+    kernel: bool = True,
+    min_overlap_weeks: int = 1,
 ) -> DataFrame:
     """Partial top-k candidates per treated unit (see module docstring, step 3).
 
@@ -275,7 +371,7 @@ def candidate_pairs(
     chunks are built once for all interventions on it, and `exclusions`
     (intervention_id, merchant_id) lists the ids each intervention may not use as
     controls; they travel with the block pair (hashed into the same chunks) and are
-    masked by the kernel, so the result stays exact.
+    masked by the kernel, so the result stays exact. Without `kernel`, the block pairs.
     """
     spark = treated_vecs.sparkSession
     tv = treated_vecs.withColumn("_pool", F.col(pool_key))
@@ -296,7 +392,10 @@ def candidate_pairs(
     ).first()
     n_iv = summary["n_iv"] or 0
     if n_iv == 0:
-        return spark.createDataFrame([], CANDIDATE_SCHEMA)
+        if kernel:
+            return spark.createDataFrame([], CANDIDATE_SCHEMA)
+        empty = "intervention_id string, t_ids array<string>, t_vecs array<array<double>>, c_ids array<string>, c_vecs array<array<double>>, ex_ids array<string>"
+        return spark.createDataFrame([], empty)
     small = n_iv <= config.MAX_BROADCAST_INTERVENTION_ROWS  # pools <= interventions
     n_pools, n_tb = int(summary["n_pools"]), int(summary["n_tb"])
     tasks_per_pool = max(1, -(-2 * default_parallelism(spark) // n_pools))
@@ -353,7 +452,7 @@ def candidate_pairs(
             "ex_ids", F.coalesce("ex_ids", F.array().cast("array<string>"))
         )
     pairs = pairs.select("intervention_id", "t_ids", "t_vecs", "c_ids", "c_vecs", "ex_ids")
-    return pairs.mapInPandas(_kernel(k), CANDIDATE_SCHEMA)
+    return pairs.mapInPandas(_kernel(k, max(1, min_overlap_weeks)), CANDIDATE_SCHEMA) if kernel else pairs
 
 
 KERNEL_BATCH_BYTES = 64 * 1024 * 1024
@@ -385,9 +484,12 @@ def match_controls(
     match_window_days: int = config.MATCH_WINDOW_DAYS,
     checkpoint: bool = True,
     bounds=None,
+    min_overlap_weeks: int = 1,
 ) -> DataFrame:
     """(intervention_id, treated_merchant_id, control_merchant_id, total_residual,
-    common_weeks, match_rank, similarity_score) for every intervention in `windows`."""
+    common_weeks, match_rank, similarity_score) for every intervention in `windows`. Residuals
+    add up the weeks both have, so sparse controls look closer: `min_overlap_weeks` leaves out
+    those with fewer weeks in common."""
     k = resolve_n_matches(n_matches)
     shared = normalize_vectors(window_vectors(panel, windows, match_window_days, bounds))
     shared = shared.select("pre_start", "merchant_id", "vec")
@@ -406,11 +508,12 @@ def match_controls(
     # Controls: every merchant of the window, chunked once per window; each
     # intervention's own cohort is masked in the kernel.
     pairs = candidate_pairs(
-        t_vecs, shared, k, pool_key="pre_start", exclusions=treated, max_exclusions=n_treated
+        t_vecs, shared, k, pool_key="pre_start", exclusions=treated, max_exclusions=n_treated, min_overlap_weeks=min_overlap_weeks
     )
     return rank_candidates(pairs, k)
 
 
 def build_control_group(matches: DataFrame) -> DataFrame:
-    """The reference's output columns, plus the intervention id of the batch form."""
-    return matches.select("intervention_id", "treated_merchant_id", "control_merchant_id", "similarity_score")
+    """The public columns and the intervention id of the batch form, in the order of the SQL form."""
+    rows = matches.select("intervention_id", "treated_merchant_id", "control_merchant_id", "similarity_score")
+    return rows.orderBy("intervention_id", "treated_merchant_id", F.desc("similarity_score"), "control_merchant_id")

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftwise import config
+from liftwise.functions.columns import finite, iso_weekday, money_avg
 from liftwise.functions.joins import broadcast_if_small
 
 
@@ -93,31 +94,91 @@ def inject_lift(panel: DataFrame, interventions: DataFrame, effect_col: str = "t
     """Multiply amount and txn_count of treated rows on/after each start by (1 + effect),
     rounding amount to cents (exact decimal, half up) and counts to >= 1.
 
-    A merchant in several cohorts gets the product of the effects that have started.
-    The cohort schedule is one small row per treated merchant, broadcast if its
-    counted size allows.
+    A merchant in several cohorts gets the product of the effects that have started: the
+    schedule is a row per merchant and span of days with its product, so a panel row meets one
+    of them at most. It is broadcast if its counted size allows.
     """
     cohort = interventions.select(
         F.explode("treated_merchant_ids").alias("merchant_id"), "start_date", F.col(effect_col).alias("effect")
     ).where(F.col("merchant_id").isNotNull())
-    schedule = cohort.groupBy("merchant_id").agg(
-        F.collect_list(F.struct("start_date", "effect")).alias("schedule")
+    starts = cohort.groupBy("merchant_id", "start_date").agg(F.product(F.lit(1.0) + F.col("effect")).alias("step"))
+    per_merchant = Window.partitionBy("merchant_id").orderBy("start_date")
+    schedule = starts.select(
+        F.col("merchant_id").alias("_merchant"),
+        F.col("start_date").alias("_from"),
+        F.lead("start_date").over(per_merchant).alias("_until"),
+        F.product("step").over(per_merchant).alias("_m"),
     )
     schedule = broadcast_if_small(schedule, config.MAX_BROADCAST_DIMENSION_ROWS)
-    started = F.filter("schedule", lambda s: s["start_date"] <= F.col("txn_date"))
-    multiplier = F.aggregate(started, F.lit(1.0), lambda acc, s: acc * (F.lit(1.0) + s["effect"]))
-    hit = F.size(started) > 0
-    cols = [c for c in panel.columns]
-    joined = panel.join(schedule, "merchant_id", "left").withColumn(
-        "_m", F.when(F.col("schedule").isNotNull(), multiplier)
-    )
+    day = F.col("txn_date")
+    started = (day >= F.col("_from")) & (F.col("_until").isNull() | (day < F.col("_until")))
+    joined = panel.join(schedule, (F.col("merchant_id") == F.col("_merchant")) & started, "left")
     new_amount = F.round(F.col("amount").cast("decimal(27,11)") * F.col("_m").cast("decimal(10,8)"), 2).cast("double")
     new_count = F.greatest(F.lit(1), F.round(F.col("txn_count") * F.col("_m")).cast("int"))
-    treated_post = F.col("schedule").isNotNull() & hit
-    out = joined.withColumn("amount", F.when(treated_post, new_amount).otherwise(F.col("amount"))).withColumn(
-        "txn_count", F.when(treated_post, new_count).otherwise(F.col("txn_count"))
+    values = {"amount": new_amount, "txn_count": new_count}
+    return joined.select(
+        *[F.when(F.col("_m").isNotNull(), values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in panel.columns]
     )
-    return out.select(*cols)
+
+
+#: Terms of the seasonal model besides the constant: the weekend, the year's wave, December.
+TERMS = ("weekend", "sin_year", "cos_year", "december")
+
+
+def _solved(names: list[str]) -> list[tuple[str, Column]]:
+    """Gaussian elimination of the symmetric system in the columns s_i_j (i <= j) with the right
+    side s_i_y, as steps of (column, expression) that give x_i: a few columns per row, no loop
+    over rows. A pivot of 0 (a term that does not vary) leaves its coefficient 0."""
+    n = len(names)
+
+    def at(i: int, j: int | str) -> str:
+        return f"s_{i}_{j}" if j == "y" or i <= j else f"s_{j}_{i}"
+
+    a: dict = {(i, j): F.col(at(i, j)) for i in range(n) for j in [*range(n), "y"]}
+    steps = []
+    for p in range(n):
+        for i in range(p + 1, n):
+            ratio = F.when(F.abs(F.col(at(p, p)) if p == 0 else F.col(f"e{p}_{p}_{p}")) > 1e-9, a[i, p] / a[p, p]).otherwise(F.lit(0.0))
+            for j in [*range(p + 1, n), "y"]:
+                name = f"e{p + 1}_{i}_{j}"
+                steps.append((name, a[i, j] - ratio * a[p, j]))
+        for i in range(p + 1, n):
+            for j in [*range(p + 1, n), "y"]:
+                a[i, j] = F.col(f"e{p + 1}_{i}_{j}")
+    for i in reversed(range(n)):
+        rest = a[i, "y"]
+        for j in range(i + 1, n):
+            rest = rest - a[i, j] * F.col(f"x_{j}")
+        steps.append((f"x_{i}", F.when(F.abs(a[i, i]) > 1e-9, rest / a[i, i]).otherwise(F.lit(0.0))))
+    return steps
+
+
+def seasonality_estimates(gold: DataFrame) -> DataFrame:
+    """(location_type, n_rows, constant, weekend, sin_year, cos_year, december): least squares of
+    amounts relative to their merchant's mean, per location type.
+
+    The normal equations are sums per location type (one aggregation after the merchants'
+    means); solving them is arithmetic on the columns of that one row. Rows without a type or
+    a finite amount, and merchants whose mean is 0, take no part.
+    """
+    rows = gold.select("merchant_id", "txn_date", "location_type", finite(F.col("amount")).alias("amount"))
+    rows = rows.where("amount IS NOT NULL AND location_type IS NOT NULL")
+    means = rows.groupBy("merchant_id").agg(money_avg(F.col("amount")).alias("mean")).where("mean <> 0")
+    angle = F.lit(2 * math.pi / 365.0) * (F.dayofyear("txn_date") - 1)
+    terms = {
+        "weekend": (iso_weekday(F.col("txn_date")) >= 6).cast("double"),
+        "sin_year": F.sin(angle),
+        "cos_year": F.cos(angle),
+        "december": (F.month("txn_date") == 12).cast("double"),
+    }
+    x = rows.join(means, "merchant_id").select("location_type", F.lit(1.0).alias("constant"), *[v.alias(k) for k, v in terms.items()], (F.col("amount") / F.col("mean")).alias("y"))
+    names = ["constant", *TERMS]
+    sums = [F.sum(F.col(a) * F.col(b)).alias(f"s_{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
+    sums += [F.sum(F.col(a) * F.col("y")).alias(f"s_{i}_y") for i, a in enumerate(names)]
+    system = x.groupBy("location_type").agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    for name, value in _solved(names):
+        system = system.withColumn(name, value)
+    return system.select("location_type", "n_rows", *[F.col(f"x_{i}").alias(n) for i, n in enumerate(names)])
 
 
 # Selection weights of the pilot cohort.
@@ -137,8 +198,8 @@ def sample_cohort(merchants: DataFrame, n: int, seed: int = 42) -> DataFrame:
     u uniform from a hash of (seed, merchant_id); the n smallest keys win. The top-n
     is the feature, so it is a limit (per-partition top-n, then merged)."""
     weight = _lookup("location_type", LOCATION_WEIGHTS) * _lookup("size_band", SIZE_WEIGHTS)
-    bits = F.pmod(F.xxhash64(F.lit(seed), F.col("merchant_id")), F.lit(1 << 53))
-    u = (bits.cast("double") + 0.5) / float(1 << 53)
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("merchant_id")).cast("binary")), 1, 13), 16, 10)
+    u = (bits.cast("double") + 0.5) / float(1 << 52)
     return (
         merchants.select("merchant_id", weight.alias("weight"))
         .where(F.col("weight") > 0)

@@ -76,15 +76,23 @@ def control_weekly_avg(weekly: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def trend_series(
-    treated_avg: DataFrame, control_avg: DataFrame, windows: DataFrame, n_windows: int | None = None
+    treated_avg: DataFrame,
+    control_avg: DataFrame,
+    windows: DataFrame,
+    n_windows: int | None = None,
+    drop_straddling_week: bool = False,
 ) -> DataFrame:
-    """Unrounded weekly series with week_number, period, ratio, baseline and lift_pct."""
+    """Unrounded weekly series with week_number, period, ratio, baseline and lift_pct. The week in
+    which an intervention begins after its Monday counts as before it, although it has treated
+    days; `drop_straddling_week` leaves it out."""
     starts = windows.select("intervention_id", "start_date")
     if n_windows is None:
         starts = broadcast_if_small(starts, config.MAX_BROADCAST_INTERVENTION_ROWS)
     elif n_windows <= config.MAX_BROADCAST_INTERVENTION_ROWS:
         starts = F.broadcast(starts)
     t = treated_avg.join(control_avg, ["intervention_id", "week_start"]).join(starts, "intervention_id")
+    if drop_straddling_week:
+        t = t.where((F.col("week_start") >= F.col("start_date")) | (F.date_add("week_start", 6) < F.col("start_date")))
     ratio = safe_div(F.col("treated_avg_revenue"), F.col("control_avg_revenue"))
     per_iv = Window.partitionBy("intervention_id")
     return (

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwise import config
-from liftwise.operators import adhoc, lift, matching, metrics, panel, quality, trends, windows
+from liftwise.operators import adhoc, lift, matching, metrics, panel, quality, trends, weekly, windows
 from liftwise.plans import causal, medallion, warehouse
 from liftwise.plans.context import context
 from liftwise.plans.lookup import lookup_intervention as _lookup
@@ -176,9 +176,9 @@ def control_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weekly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, vecs = _vectors(spark, sf_dir)
-    rows = matching.vectors_as_rows(vecs, "weekly", "weekly_revenue")
-    return rows.withColumn("weekly_revenue", F.round("weekly_revenue", 2))
+    ctx = context(spark, sf_dir)
+    rows = weekly.weekly_revenue(ctx.layers.weekly, ctx.windows)
+    return rows.withColumn("weekly_revenue", F.round("weekly_revenue", 8))
 
 
 @query
@@ -358,11 +358,17 @@ def seasonality_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def seasonality_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = panel.seasonality_estimates(context(spark, sf_dir).gold)
+    return e.select("location_type", "n_rows", *[F.round(c, 7).alias(c) for c in ("constant", *panel.TERMS)])
+
+
 @query
 def sample_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = context(spark, sf_dir).layers.merchants
     n = 25
-    return panel.sample_cohort(m, n)
+    return panel.sample_cohort(m, n).withColumn("sample_key", F.round("sample_key", 8))
 
 
 # ---------------------------------------------------------------- SQL surface

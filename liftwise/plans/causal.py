@@ -32,6 +32,8 @@ class CausalRun:
     match_window_days: int = config.MATCH_WINDOW_DAYS
     checkpoint: bool = True
     weekly_table: DataFrame | None = None  # the panel's weekly sums, where they are stored
+    min_overlap_weeks: int = 1  # that a control has in common with a treated merchant
+    drop_straddling_week: bool = False  # the week in which an intervention begins after its Monday
 
     def _keep(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.checkpoint else df
@@ -58,6 +60,7 @@ class CausalRun:
             self.match_window_days,
             self.checkpoint,
             bounds=self.bounds,
+            min_overlap_weeks=self.min_overlap_weeks,
         )
         return self._keep(m)
 
@@ -91,7 +94,9 @@ class CausalRun:
     def series(self) -> DataFrame:
         # <= ~61 rows per intervention, derived from the checkpointed weekly table:
         # recomputing it is cheaper than another write.
-        return trends.trend_series(self.treated_avg, self.control_avg, self.windows, self.bounds.n_interventions)
+        return trends.trend_series(
+            self.treated_avg, self.control_avg, self.windows, self.bounds.n_interventions, self.drop_straddling_week
+        )
 
     @property
     def parallel_trends(self) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A refresh writes every table under the name of a new version. The public names are views over
 one version; they are replaced after all tables are written and every check has held, so a
-refresh that fails leaves the version before it in place and drops its own tables. The checks
+refresh that fails leaves the version before it in place and drops its own tables. One that
+succeeds drops the version before, so it runs when no query still reads that one. The checks
 read counts that were observed by the writing job itself (no second scan): the number of rows
 of each table against what is expected, and of gold against its transactions, which a
 duplicated merchant would multiply.

@@ -34,13 +34,6 @@ def overwrite(
     writer.save(path)
 
 
-def overwrite_table(df: DataFrame, name: str, fmt: str = config.TABLE_FORMAT) -> None:
-    """Catalog variant: `CREATE SCHEMA IF NOT EXISTS` + overwrite into a managed table."""
-    if "." in name:
-        df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    df.write.mode("overwrite").format(fmt).option("overwriteSchema", "true").saveAsTable(name)
-
-
 def agent_view(interventions: DataFrame) -> DataFrame:
     """Explicit column list (never `*`), so the oracle column cannot surface."""
     return interventions.select(*config.AGENT_VIEW_COLUMNS)

@@ -186,3 +186,31 @@ def test_partitioning_changes_nothing(spark):
         assert sorted(tuple(r) for r in run.estimate_lift().collect()) == expected_lift
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_controls_need_weeks_in_common(spark):
+    """A control with two weeks only is the nearest, unless an overlap is asked for."""
+    series = {f"M{i}": full_range(wave(100 + 9 * i, phase=3 * i)) for i in range(1, 6)}
+    series["SPARSE"] = [(d, a) for d, a in series["M1"] if d >= START - dt.timedelta(days=14)]
+    p = make_panel(spark, series)
+    iv = make_interventions(spark, [("A", ["M1"], START, 60)])
+
+    def first(**options) -> str:
+        run = CausalRun(p, intervention_windows(iv), treated_merchants(iv), 1, checkpoint=False, **options)
+        return run.matches.first().control_merchant_id
+
+    assert first() == "SPARSE" and first(min_overlap_weeks=3) != "SPARSE"
+    run = CausalRun(p, intervention_windows(iv), treated_merchants(iv), 9, checkpoint=False, min_overlap_weeks=60)
+    assert not run.matches.collect()
+
+
+def test_straddling_week_can_be_dropped(spark):
+    series = {f"M{i}": full_range(wave(100 + 9 * i, phase=3 * i)) for i in range(1, 6)}
+    p = make_panel(spark, series)
+    for shift, gone in ((0, set()), (3, {-1})):
+        iv = make_interventions(spark, [("A", ["M1", "M2"], START + dt.timedelta(days=shift), 30)])
+        weeks = [
+            {r.week_number for r in CausalRun(p, intervention_windows(iv), treated_merchants(iv), 2, checkpoint=False, drop_straddling_week=d).series.collect()}
+            for d in (False, True)
+        ]
+        assert weeks[0] - weeks[1] == gone and weeks[1]
