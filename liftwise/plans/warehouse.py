@@ -11,8 +11,9 @@ duplicated merchant would multiply.
 Silver takes values that are none of their type as rejects, with the reason and the record as
 JSON; they are written in the same pass as the good rows, in a partition of their own.
 
-Gold and its weekly sums are partitioned by date and bucketed by merchant, so that the weekly
-aggregation and everything per merchant after it need no exchange of gold. Matches are computed
+Gold and its weekly sums are partitioned by year and bucketed by merchant, so that the weekly
+aggregation and everything per merchant after it need no exchange of gold. A bucket's file of
+gold is in the order of the days, so a range of days skips row groups within a year. Matches are computed
 from the version that they are published with.
 """
 
@@ -202,7 +203,7 @@ class Warehouse:
         if self.buckets is None:
             self._n_buckets = max(4, -(-counts["transactions"]["n_rows"] // config.BUCKET_ROWS))
         gold_rows = gold_enriched(with_calendar(t), m)
-        gold, counts["transactions_enriched"] = self._write("transactions_enriched", version, gold_rows, ("year", "month"), ("merchant_id", "txn_date"))
+        gold, counts["transactions_enriched"] = self._write("transactions_enriched", version, gold_rows, ("year",), ("txn_date", "merchant_id"))
         gold = gold.select(*config.GOLD_COLUMNS)
         _, counts["transactions_weekly"] = self._write("transactions_weekly", version, weekly_panel(gold), ("year",), ("merchant_id", "week_start"))
         expected = {"transactions_enriched": counts["transactions"]["n_rows"]} | dict(expected)
