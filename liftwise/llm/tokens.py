@@ -18,7 +18,7 @@ import unicodedata
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_BYTES = 48 << 20  # of each cache in a worker; emptied when full
+CACHE_BYTES = 48 << 20  # of each generation of pieces in a worker; words have half of it
 ENTRY_BYTES = 200  # of an entry besides its text and ids, about
 
 
@@ -37,35 +37,41 @@ def _byte_letters() -> list[str]:
 
 
 class _Cache(dict):
-    """Text -> ids, bounded by bytes."""
+    """Text -> ids, bounded by bytes: two generations, of which the older one goes when the
+    younger is full; what is asked for again moves to the younger."""
 
-    held = 0
+    part = 1
+
+    def __init__(self):
+        self.held = 0
+        self.old: dict[str, bytes] = {}
 
     def keep(self, text: str, raw: bytes) -> bytes:
-        if self.held >= CACHE_BYTES:
-            self.release()
+        if self.held * self.part >= CACHE_BYTES:
+            self.old = dict(self)
+            self.clear()
+            self.held = 0
         self.held += len(raw) + 2 * len(text) + ENTRY_BYTES
         self[text] = raw
         return raw
 
-    def release(self) -> None:
-        self.clear()
-        self.held = 0
+    def __missing__(self, text: str) -> bytes:
+        raw = self.old.get(text)
+        return self.keep(text, self.encoded(text) if raw is None else raw)
 
 
 class _Pieces(_Cache):
     """White-space separated piece -> ids."""
 
     def __init__(self, words: _Words):
+        super().__init__()
         self.words = words
 
-    def __missing__(self, piece: str) -> bytes:
+    def encoded(self, piece: str) -> bytes:
         w = self.words
         if piece.isascii() and piece.isalpha():
-            raw = w[piece.lower()]
-        else:
-            raw = b"".join([w[x] for x in w.split(unicodedata.normalize("NFC", piece).lower())])
-        return self.keep(piece, raw)
+            return w[piece.lower()]
+        return b"".join([w[x] for x in w.split(unicodedata.normalize("NFC", piece).lower())])
 
 
 class _Words(_Cache):
@@ -74,12 +80,15 @@ class _Words(_Cache):
     #: The tokenizer's split: contractions, letters, one digit, other signs.
     split = staticmethod(re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+").findall)
 
+    part = 2
+
     def __init__(self, model):
+        super().__init__()
         self.tokenize, self.letters = model.tokenize, {b: x for b, x in enumerate(_byte_letters())}
 
-    def __missing__(self, word: str) -> bytes:
+    def encoded(self, word: str) -> bytes:
         mapped = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.letters)
-        return self.keep(word, np.array([t.id for t in self.tokenize(mapped)], np.uint32).tobytes())
+        return np.array([t.id for t in self.tokenize(mapped)], np.uint32).tobytes()
 
 
 class _OddCharacters(dict):
