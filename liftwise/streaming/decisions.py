@@ -20,7 +20,10 @@ DECISION_SCHEMA = "intervention_id string, decision string, decided_at long"
 
 
 def start_gate(spark: SparkSession, source_dir: str, gate_dir: str, checkpoint_dir: str, max_files_per_trigger: int = 64) -> StreamingQuery:
-    """Read what decisions there are, update the gate, and stop."""
+    """Read what decisions there are, update the gate, and stop. Before the first decision the
+    gate is empty: closed for every intervention."""
+    none = spark.createDataFrame([], "intervention_id string, approved boolean")
+    none.write.mode("ignore").parquet(f"{gate_dir}/batch=-1")
     decisions = spark.readStream.schema(DECISION_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
 
     def write(gate: DataFrame, batch: int) -> None:

@@ -114,6 +114,8 @@ def test_gate_is_the_latest_decision_and_resumes(spark, tmp_path):
         spark.createDataFrame(rows, decisions.DECISION_SCHEMA).write.mode("append").parquet(src)
         return {r.intervention_id: r.approved for r in decisions.run_gate(spark, src, gate, ckpt).collect()}
 
+    (tmp_path / "src").mkdir()
+    assert not decisions.run_gate(spark, src, gate, ckpt).collect()  # no decision yet
     assert add([("A", "yes", 5), ("B", "no", 5), ("C", "Approve", 1)]) == {"A": True, "B": False, "C": True}
     assert add([("A", "no", 4), ("B", "proceed ", 6), ("D", None, 1)]) == {"A": True, "B": True, "C": True, "D": False}  # A's came late
     assert add([("A", "no", 5), ("C", "no", None)]) == {"A": False, "B": True, "C": False, "D": False}  # ties and undated refusals close
