@@ -18,7 +18,7 @@ import unicodedata
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_BYTES = 48 << 20  # of each generation of pieces in a worker; words have half of it
+CACHE_BYTES = 72 << 20  # of each generation of pieces in a worker; other words have an eighth
 ENTRY_BYTES = 200  # of an entry besides its text and ids, about
 
 
@@ -69,18 +69,20 @@ class _Pieces(_Cache):
 
     def encoded(self, piece: str) -> bytes:
         w = self.words
-        if piece.isascii() and piece.isalpha():
-            return w[piece.lower()]
-        return b"".join([w[x] for x in w.split(unicodedata.normalize("NFC", piece).lower())])
+        if piece.isascii() and piece.isalpha():  # a word is kept once, as its lower-case piece
+            low = piece.lower()
+            return w.encoded(piece) if low == piece else self[low]
+        words = w.split(unicodedata.normalize("NFC", piece).lower())
+        return b"".join([self[x] if x.isascii() and x.isalpha() else w[x] for x in words])
 
 
 class _Words(_Cache):
-    """Lower-case word -> ids."""
+    """Lower-case word that is no piece of plain letters -> ids."""
 
     #: The tokenizer's split: contractions, letters, one digit, other signs.
     split = staticmethod(re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+").findall)
 
-    part = 2
+    part = 8
 
     def __init__(self, model):
         super().__init__()
