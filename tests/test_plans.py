@@ -31,7 +31,7 @@ def test_no_cartesian_or_unexpected_nested_loop(spark, key):
 
 
 def _gold_scans_pruned(text):
-    scans = [blk for blk in text.split("\n\n") if blk.startswith("(") and "Scan parquet" in blk and "transactions_enriched" in blk]
+    scans = [blk for blk in text.split("\n\n") if blk.lstrip().startswith("(") and "Scan parquet" in blk and "transactions_enriched" in blk]
     assert scans
     for blk in scans:
         assert "PartitionFilters: [" in blk and "year" in blk
@@ -68,7 +68,7 @@ def test_top_k_is_partial_then_final(spark):
 
 def test_sql_metric_prunes_by_year(spark):
     text = plan_text(queries()["tvf_query_metric"](spark, SF001))
-    scans = [blk for blk in text.split("\n\n") if blk.startswith("(") and "Scan parquet" in blk and "transactions_enriched" in blk]
+    scans = [blk for blk in text.split("\n\n") if blk.lstrip().startswith("(") and "Scan parquet" in blk and "transactions_enriched" in blk]
     assert scans
     for blk in scans:
         assert "PartitionFilters: [" in blk and "year" in blk.split("PartitionFilters: [")[1].split("]")[0]

@@ -134,7 +134,7 @@ def test_plans_of_the_functions(spark):
         text = plan_text(ctx.published.call(call))
         assert "transactions_enriched" not in text and "NestedLoop" not in text and "Cartesian" not in text
         for block in text.split("\n\n"):
-            if block.startswith("(") and "Scan parquet" in block and "transactions_weekly" in block:
+            if block.lstrip().startswith("(") and "Scan parquet" in block and "transactions_weekly" in block:
                 assert "year" in block.split("PartitionFilters: [")[1].split("]")[0]
         keys = [line for line in text.split("\n") if line.startswith(("Left keys", "Right keys"))]
         assert not [k for k in keys if k.split("[1]: [")[-1].startswith("intervention_id#") and "match_vectors" in k]
