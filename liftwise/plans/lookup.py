@@ -1,10 +1,14 @@
 """Intervention lookup by free-text name, many lookups in one job.
 
-A name matches a text if it contains the text's tokens in order, anywhere, ignoring case. An
-inverted index of the names' short strings (all runs of up to three characters) finds
-candidates by equi-join: a text is joined on the rarest of its tokens' runs only, and the
-candidates are checked against the whole pattern. A run that many names have is split by
-adaptive skew handling like any other key; a text with a run that no name has matches nothing.
+A name matches a text if it contains the text's tokens in order, anywhere, ignoring case. Equal
+names are compared once, and so are texts of equal tokens.
+
+Of each token of a text the run of up to three characters that fewest names have stands for it.
+A text's key is its rarest such runs, of up to `DEPTH` different tokens, rarest first. Names are
+brought to the keys a run at a time: a name that has a key's first run goes on to the keys that
+begin with it, if it has their next run too. So a name meets the texts whose rarest runs it
+has, not all that share one frequent run with it, and is checked against their whole patterns.
+A text with a run that no name has matches nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from liftwise.session import cut_lineage
+
 GRAM = 3
+DEPTH = 4  # runs in a key, each of another token; the pattern decides beyond them
 
 
 def tokens_of(text: Column) -> Column:
@@ -36,30 +43,66 @@ def _runs(text: Column, size: Column) -> Column:
     )
 
 
-def name_index(view: DataFrame) -> DataFrame:
-    """(gram, intervention_id, lname): a row for each distinct run of 1 to 3 characters of each
-    name; null names have none."""
-    names = view.select("intervention_id", F.lower("name").alias("lname")).where("lname IS NOT NULL")
-    grams = F.array_distinct(F.concat(*[_runs(F.col("lname"), F.lit(n)) for n in range(1, GRAM + 1)]))
-    return names.select(F.explode(grams).alias("gram"), "intervention_id", "lname")
+def _grams(name: Column) -> Column:
+    """The distinct runs of 1 to 3 characters of a name."""
+    return F.array_distinct(F.concat(*[_runs(name, F.lit(n)) for n in range(1, GRAM + 1)]))
+
+
+def distinct_names(view: DataFrame) -> DataFrame:
+    """(lname, intervention_id): the first id (by id order) of each name; null names are none."""
+    return view.groupBy(F.lower("name").alias("lname")).agg(F.min("intervention_id").alias("intervention_id")).where("lname IS NOT NULL")
+
+
+def text_keys(patterns: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(pattern, keys): the rarest run of each token, (n_names, gram), rarest first and at most
+    `DEPTH`; texts with a run that no name has are left out."""
+    grams = patterns.select("pattern", F.posexplode("tokens").alias("nth", "token"))
+    own = F.array_distinct(_runs(F.col("token"), F.least(F.length("token"), F.lit(GRAM))))
+    counted = grams.select("pattern", "nth", F.explode(own).alias("gram")).join(frequency, "gram", "left")
+    least = F.min(F.struct(F.coalesce("n_names", F.lit(0)).alias("n_names"), "gram"))
+    of_token = counted.groupBy("pattern", "nth").agg(least.alias("rare"))
+    keys = of_token.groupBy("pattern").agg(F.array_sort(F.collect_set("rare")).alias("keys")).where("keys[0].n_names > 0")
+    return keys.select("pattern", F.slice("keys", 1, DEPTH).alias("keys"))
+
+
+def _key(keys: Column, depth: int) -> Column:
+    """The first runs of a text's key as one string (runs have no blanks)."""
+    return F.array_join(F.slice(keys["gram"], 1, depth), " ")
+
+
+def names_of_keys(names: DataFrame, texts: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(key, lname, intervention_id): the names that have all runs of a text's key."""
+    used = texts.select(F.explode("keys.gram").alias("gram")).distinct()
+    have = names.select("lname", "intervention_id", F.explode(_grams(F.col("lname"))).alias("gram")).join(used, "gram", "left_semi").join(frequency, "gram")
+    have = cut_lineage(have.groupBy("lname", "intervention_id").agg(F.array_sort(F.collect_set(F.struct("n_names", "gram"))).alias("have")))
+    at = have.select("lname", "intervention_id", "have", F.posexplode("have").alias("nth", "g")).withColumn("key", F.col("g.gram"))
+    found = None
+    for depth in range(1, DEPTH + 1):
+        here = texts.where(F.size("keys") >= depth)
+        level = here.groupBy(_key(F.col("keys"), depth).alias("key")).agg(F.min(F.size("keys")).alias("least"), F.max(F.size("keys")).alias("most"))
+        at = at.drop("g").join(level, "key")
+        ended = at.where(F.col("least") == depth).select("key", "lname", "intervention_id")
+        found = ended if found is None else found.unionAll(ended)
+        if depth < DEPTH:
+            at = cut_lineage(at.where(F.col("most") > depth).drop("least", "most"))
+            rest = F.transform(F.slice("have", F.col("nth") + 2, F.size("have")), lambda g, i: F.struct((i + F.col("nth") + 1).alias("nth"), g["gram"].alias("gram")))
+            at = at.withColumn("g", F.explode(rest)).withColumn("nth", F.col("g.nth")).withColumn("key", F.concat_ws(" ", "key", "g.gram"))
+    return found
 
 
 def lookup_intervention(view: DataFrame, lookups: DataFrame) -> DataFrame:
     """(query_id, query_text, intervention_id): the first id (by id order) whose name matches
     the text; a text without tokens matches every name; NULL when nothing matches."""
-    index = name_index(view)
-    own = F.transform(F.col("tokens"), lambda t: _runs(t, F.least(F.length(t), F.lit(GRAM))))
+    names = cut_lineage(distinct_names(view))
     asked = lookups.select("query_id", F.lower(name_pattern(F.col("query_text"))).alias("pattern"), tokens_of(F.col("query_text")).alias("tokens"))
-    asked = asked.withColumn("grams", F.array_distinct(F.flatten(own)))
-    frequency = index.groupBy("gram").agg(F.count(F.lit(1)).alias("n_names"))
-    grams = asked.where(F.size("grams") > 0).select("query_id", "pattern", F.explode("grams").alias("gram"))
-    rarest = grams.join(frequency, "gram", "left").groupBy("query_id", "pattern").agg(
-        F.min(F.struct(F.coalesce("n_names", F.lit(0)).alias("n_names"), "gram")).alias("rare")
-    )
-    hits = rarest.where("rare.n_names > 0").select("query_id", "pattern", F.col("rare.gram").alias("gram")).join(index, "gram").where("lname LIKE pattern")
-    best = hits.groupBy("query_id").agg(F.min("intervention_id").alias("intervention_id"))
+    frequency = cut_lineage(names.select(F.explode(_grams(F.col("lname"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n_names")))
+    texts = cut_lineage(text_keys(asked.where(F.size("tokens") > 0).select("pattern", "tokens").distinct(), frequency))
+    of_key = texts.select("pattern", _key(F.col("keys"), DEPTH).alias("key"))
+    hits = of_key.join(names_of_keys(names, texts, frequency), "key").where("lname LIKE pattern")
+    of_pattern = hits.groupBy("pattern").agg(F.min("intervention_id").alias("intervention_id"))
+    best = asked.select("query_id", "pattern").join(of_pattern, "pattern").groupBy("query_id").agg(F.min("intervention_id").alias("intervention_id"))
     # texts without tokens: the first of all named interventions, joined on a key they share
     first = view.where("name IS NOT NULL").agg(F.min("intervention_id").alias("intervention_id"))
-    first = first.withColumn("n_grams", F.pmod(F.xxhash64("intervention_id"), F.lit(1)))  # 0
-    empty = asked.select("query_id", F.size("grams").cast("long").alias("n_grams")).join(F.broadcast(first), "n_grams").drop("n_grams")  # one row
+    first = first.withColumn("n_tokens", F.pmod(F.xxhash64("intervention_id"), F.lit(1)))  # 0
+    empty = asked.select("query_id", F.size("tokens").cast("long").alias("n_tokens")).join(F.broadcast(first), "n_tokens").drop("n_tokens")  # one row
     return lookups.select("query_id", "query_text").join(best.unionByName(empty), "query_id", "left")
