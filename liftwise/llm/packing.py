@@ -33,6 +33,7 @@ POOL_TOKENS = 1 << 19
 OPEN_SEQUENCES = 64
 FLUSH_BYTES = 4 << 20  # of output rows in a batch
 ROW_BYTES = 500  # of an output row besides its ids, about
+ENCODED_CHARS = 1 << 22  # of texts encoded together: a piece is looked up once in them
 
 
 @dataclass(frozen=True)
@@ -191,7 +192,7 @@ def examples_of(batch: pa.RecordBatch, path: str, end_id: int) -> Iterator[Examp
     ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
     prompts = batch.column(2).to_pylist() if batch.num_columns > 2 else None
     enc, end = encoder(path), np.uint32(end_id).tobytes()
-    for a, b in chunks(texts):
+    for a, b in chunks(texts, ENCODED_CHARS):
         heads = enc.encode(prompts[a:b]) if prompts else [b""] * (b - a)
         for d, head, raw in zip(ids[a:b], heads, enc.encode(texts[a:b]), strict=True):
             raw = head + raw + end
