@@ -3,7 +3,8 @@
 The tokenizer (lower-casing BPE with word ends) drops white space and never joins across it,
 so a text's ids are those of its white-space separated pieces, and a piece's ids are those
 of its words, in order. Both are cached; a new word is encoded by the tokenizer's own model.
-A call looks each distinct piece of its texts up once; the texts' ids are gathered in arrays.
+A call sets signs after a letter apart, in lower case, so that a word has one piece, looks
+each distinct piece up once, and gathers the texts' ids in arrays.
 Texts to which this does not apply (control characters that only Python takes for white
 space, letters and numbers whose classes or lower case differ, special-token strings) are
 encoded whole by the tokenizer.
@@ -107,6 +108,27 @@ class _OddCharacters(dict):
         return odd
 
 
+_BYTES = np.arange(256, dtype=np.uint8)
+_LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
+_LETTER = (_LOWER >= 97) & (_LOWER <= 122)
+_SIGN = (_BYTES > 32) & (_BYTES < 127) & ~_LETTER
+
+
+def _apart(texts: list[str]) -> pa.Array:
+    """The texts, A to Z in lower case, with a space between each of these letters and an ASCII
+    sign or digit after it. A word ends there in _Words.split, so the words are the same."""
+    plain = pa.array(texts, pa.large_string())
+    _, offsets, data = plain.buffers()
+    if not data or not data.size:
+        return plain
+    at = np.frombuffer(offsets, np.int64, len(texts) + 1)
+    raw = np.frombuffer(data, np.uint8, int(at[-1]))
+    cuts = np.flatnonzero(_LETTER[raw[:-1]] & _SIGN[raw[1:]]) + 1
+    # a cut where a text begins goes to the text before
+    at = at + np.searchsorted(cuts, at, "right")
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(at), pa.py_buffer(np.insert(_LOWER[raw], cuts, 32)))
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -130,10 +152,10 @@ class PieceEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         plain = [self._plain(t) for t in texts]
         # Arrow splits at the same 29 characters as str.split
-        pieces = pc.utf8_split_whitespace(pa.array([t if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()))
+        pieces = pc.utf8_split_whitespace(_apart([t if p else "" for t, p in zip(texts, plain, strict=True)]))
         coded = pieces.flatten().dictionary_encode()
         known = self.pieces
-        raws = [known[p] for p in coded.dictionary.to_pylist()]
+        raws = [known[p] for p in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
         size = np.fromiter(map(len, raws), np.int64, len(raws)) // 4
         first = np.cumsum(size) - size
         k = coded.indices.to_numpy()

@@ -34,3 +34,22 @@ def test_arrow_splits_where_python_does():
     signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     split = pc.utf8_split_whitespace(pa.array([f"a{c}a" for c in signs]))
     assert [c.isspace() for c in signs] == [n > 1 for n in pc.list_value_length(split).to_pylist()]
+
+
+def test_a_word_is_looked_up_once_whatever_sign_follows_it():
+    enc = PieceEncoder(default_path())
+    enc.pieces = Counted(enc.pieces.words)
+    words = [a + b for a in ("alpha", "beta", "gamma") for b in ("x", "yy", "zzz")]
+    texts = [f"{w}{sign} {w.title()}{sign} {w.upper()}{sign}" for w in words for sign in (*".,;:!?)\"'", "...", "1", "_", "'s")]
+    got = enc.encode(texts)
+    assert enc.pieces.asked < len(words) + 20
+    for text, raw in zip(texts, got, strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+
+
+def test_signs_set_apart_leave_the_ids_as_they_are():
+    enc, rnd = PieceEncoder(default_path()), np.random.default_rng(3)
+    signs = ["a", "B", "s", "T", "re", "'", "'s", "'LL", ".", "...", "_", "-", "7", "42", " ", "\n", "é", "É", "K", "中", "가", "’", "\x7f", "\x00", ";", "<", "|"]
+    texts = ["".join(rnd.choice(signs, n)) for n in rnd.integers(0, 30, 3000)]
+    for text, raw in zip(texts, enc.encode(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == enc.tok.encode(text, add_special_tokens=False).ids, repr(text)
